@@ -59,6 +59,7 @@ from shelfmark.operators.sold import (
     project_sold_ext,
     require_complete_day,
     snapshot_diff,
+    snapshot_diff_days,
     sold_products_mart,
 )
 from shelfmark.operators.staging import (

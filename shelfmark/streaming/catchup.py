@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfmark.sources.landing import _PAGE_PATH
 
@@ -33,14 +32,14 @@ def catch_up(
         if found:
             land([(store, day) for day, store in found])
 
-    # Only file names are wanted, so each page is read as lines of text and one is kept.
+    # Only paths are selected, so page contents are not read here.
+    schema = "path string, modificationTime timestamp, length bigint, content binary"
     pages = (
-        spark.readStream.format("text")
-        .schema(T.StructType([T.StructField("value", T.StringType())]))
+        spark.readStream.format("binaryFile")
+        .schema(schema)
         .option("pathGlobFilter", "*.json")
-        .option("wholetext", True)
         .load(f"{raw_root.rstrip('/')}/*/*/*/*")
-        .select(F.col("_metadata.file_path").alias("file"))
+        .select(F.col("path").alias("file"))
     )
     query = (
         pages.writeStream.foreachBatch(on_batch)
