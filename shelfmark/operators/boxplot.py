@@ -8,59 +8,49 @@ from pyspark.sql import types as T
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-_DIGIT_BITS = 16
+_BLOCK_BITS = 16
 
 
-def _order_statistics(df: DataFrame, column: str) -> DataFrame:
-    """One row: the row count ``n``, the minimum and exact quartiles of an integer column.
+def _five_numbers(df: DataFrame, column: str) -> DataFrame:
+    """One row: ``least`` and the exact quartiles ``q1``, ``q2``, ``q3`` of an integer column.
 
-    NumPy's linear rule needs the values at ranks floor and ceil of p*(n-1).  Spark's
-    ``percentile`` keeps every distinct value in one task; here values are first counted
-    per value, then per block of 2^16 values (at most 2^16 blocks for a 32-bit column),
-    and only the at most seven blocks that hold a wanted rank are looked into.  No task
-    sees more than 2^16 rows per block, whatever the data.
+    ``percentile`` keeps a counter per distinct value in one task.  To bound that, values
+    are counted first, and blocks of 2^16 neighbouring values that hold none of the wanted
+    ranks are then represented by one value each, which leaves every other rank as it was.
+    At most 2^16 blocks and the values of six of them reach ``percentile``, whatever the
+    number of rows or distinct values.
     """
     if not isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
         raise TypeError(f"{column} must be an integer column of at most 32 bits")
 
     value = F.col(column).alias("value")
     counts = df.select(value).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("block", F.shiftright("value", _DIGIT_BITS))
+    block = F.shiftright("value", _BLOCK_BITS)
 
-    in_order = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row per block: at most 2^16 for 32-bit values, so ordering them in one task is safe.
+    running = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     blocks = (
-        counts.groupBy("block")
+        counts.groupBy(block.alias("block"))
         .agg(F.sum("n").alias("n"))
-        .withColumn("before", F.sum("n").over(in_order) - F.col("n"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy()))
+        .select("block", (F.sum("n").over(running) - F.col("n")).alias("before"), F.sum("n").over(running).alias("upto"))
     )
+    # The last running sum is the number of rows; ranks of the linear rule follow from it.
+    spans = F.collect_list(F.struct("block", "before", "upto")).alias("spans")
+    spans = blocks.agg(spans, F.max("upto").alias("rows"))
+    at = F.transform(F.array(*[F.lit(p) for p in QUARTILES]), lambda p: p * (F.col("rows") - 1))
 
-    def ranks(p: float) -> tuple[Column, Column]:
-        at = F.lit(p) * (F.col("total") - 1)
-        return F.floor(at), F.ceil(at)
+    def holds_rank(span: Column) -> Column:
+        def inside(rank: Column) -> Column:
+            return (rank >= span["before"]) & (rank < span["upto"])
 
-    wanted = [F.lit(0).cast("bigint")] + [r for p in QUARTILES for r in ranks(p)]
-    holds = F.lit(False)
-    for rank in wanted:
-        holds = holds | ((rank >= F.col("before")) & (rank < F.col("before") + F.col("n")))
-    chosen = blocks.where(holds).select("block", "before", "total")
+        return F.exists(at, lambda r: inside(F.floor(r)) | inside(F.ceil(r)))
 
-    # At most seven rows: one block per wanted rank.
-    inside = counts.join(F.broadcast(chosen), "block")
-    within = Window.partitionBy("block").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("last", F.col("before") + F.sum("n").over(within) - 1)
-    inside = inside.withColumn("first", F.col("last") - F.col("n") + 1)
+    chosen = spans.select(F.transform(F.filter("spans", holds_rank), lambda s: s["block"])).scalar()
 
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((rank >= F.col("first")) & (rank <= F.col("last")), F.col("value")))
-
-    aggregates = [F.coalesce(F.max("total"), F.lit(0)).alias("n"), value_at(wanted[0]).alias("least")]
-    for i, p in enumerate(QUARTILES):
-        low, high = ranks(p)
-        share = F.max(F.lit(p) * (F.col("total") - 1)) - F.max(low)
-        a, b = value_at(low).cast("double"), value_at(high).cast("double")
-        aggregates.append((a + (b - a) * share).alias(f"q{i + 1}"))
-    return inside.agg(*aggregates)
+    kept = F.when(F.array_contains(chosen, block), F.col("value")).otherwise(F.shiftleft(block, _BLOCK_BITS))
+    quartile = F.percentile("kept", F.array(*[F.lit(p) for p in QUARTILES]), F.col("n"))
+    stats = counts.select("value", "n", kept.alias("kept")).agg(F.min("value").alias("least"), quartile.alias("q"))
+    return stats.select("least", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(len(QUARTILES))])
 
 
 def quartiles(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
@@ -72,7 +62,7 @@ def quartiles(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
         q = F.percentile_approx(column, list(QUARTILES), 10_000)
         stats = df.agg(q.alias("q"))
         return stats.select(*[F.col("q")[i].cast("double").alias(n) for i, n in enumerate(("q1", "median", "q3"))])
-    return _order_statistics(df, column).select("q1", F.col("q2").alias("median"), "q3")
+    return _five_numbers(df, column).select("q1", F.col("q2").alias("median"), "q3")
 
 
 def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
@@ -86,7 +76,7 @@ def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
         stats = df.agg(q.alias("q"), F.min(column).alias("least"))
         stats = stats.select("least", *[F.col("q")[i].cast("double").alias(f"q{i + 1}") for i in range(3)])
     else:
-        stats = _order_statistics(df, column)
+        stats = _five_numbers(df, column)
     iqr = F.col("q3") - F.col("q1")
     fence = F.col("q1") - F.lit(1.5) * iqr
     return stats.select(

@@ -6,5 +6,15 @@ from pyspark.sql import DataFrame
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Write rows as CSV with a header, one file per partition."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Write rows as CSV with a header, one file per partition.
+
+    Quotes are doubled and spaces kept, so other CSV readers see the same values.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
