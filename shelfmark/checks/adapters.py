@@ -85,9 +85,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sold_view(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataFrame:
+def sold_view(spark: SparkSession, sf_dir: str, columns: Sequence[str], dates: bool = False) -> DataFrame:
     """Sold products from ``lineitem``, one row per line, only the columns asked for.
 
+    ``sold_date`` is text as in a sold table, or a date with ``dates``.
+
     ``part`` and ``orders`` are joined (left, on their keys) only if a column needs them.
     """
     out = table(spark, sf_dir, "lineitem")
@@ -108,6 +110,6 @@ def sold_view(spark: SparkSession, sf_dir: str, columns: Sequence[str]) -> DataF
         "condition": lambda: F.when(F.col("l_quantity") != 7, F.col("l_returnflag")),
         "price": lambda: F.col("l_extendedprice").cast("decimal(10,2)"),
         "days_on_market": lambda: F.datediff(sold, F.to_date("o_orderdate")),
-        "sold_date": lambda: F.date_format(sold, "yyyy-MM-dd"),
+        "sold_date": lambda: sold if dates else F.date_format(sold, "yyyy-MM-dd"),
     }
     return out.select([available[c]().alias(c) for c in columns])

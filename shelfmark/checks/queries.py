@@ -35,10 +35,8 @@ def query(name: str, sql: str | None = None):
 
 def _report(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """Sold products as reports see them, only the columns asked for."""
-    df = sold_view(spark, sf_dir, columns)
-    if "price" in columns:
-        df = op.cast_price_int(df)
-    return op.cast_sold_date(df) if "sold_date" in columns else df
+    df = sold_view(spark, sf_dir, columns, dates=True)
+    return op.cast_price_int(df) if "price" in columns else df
 
 
 LISTING_TIES = ("ingestion_date", "event_id")
@@ -621,10 +619,6 @@ def sold_products_mart(spark, sf_dir):
 _STAGED_LATEST = (o.LISTINGS, o.latest("listings", "store, id"), o.staged(TODAY, "latest"))
 
 
-def _staged_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.latest_by_id(_staged(spark, sf_dir), ("store", "id"), "updated_at", LISTING_TIES)
-
-
 @query("dq_not_null", o.with_(*_STAGED_LATEST, select=o.not_null("staged", "stg_events", o.STAGING_COLUMNS)))
 def dq_not_null(spark, sf_dir):
     columns = list(o.STAGING_COLUMNS)
@@ -632,6 +626,22 @@ def dq_not_null(spark, sf_dir):
     return op.dq_not_null(op.latest_by_id(rows, ("store", "id"), "updated_at", LISTING_TIES), "stg_events", columns)
 
 
+@query(
+    "check_staging",
+    o.with_(
+        *_STAGED_LATEST,
+        select=o.not_null("staged", "stg_events", o.STAGING_COLUMNS)
+        + " UNION ALL SELECT 'stg_events', 'unique', 'id', count(*) FROM "
+        "(SELECT 1 FROM staged GROUP BY store, id HAVING count(*) > 1)",
+    ),
+)
+def check_staging(spark, sf_dir):
+    """All checks of a staging model, one shuffle."""
+    rows = _staged(spark, sf_dir).select("store", "updated_at", "event_id", *o.STAGING_COLUMNS)
+    latest = op.latest_by_id(rows, ("store", "id"), "updated_at", LISTING_TIES)
+    return op.check_staging(latest, "stg_events", o.STAGING_COLUMNS, ("store", "id"))
+
+
 @query(
     "dq_unique",
     "SELECT 'events' AS model, 'unique' AS \"check\", 'user_id' AS \"column\", count(*) AS failures FROM "

@@ -53,20 +53,20 @@ def products_by_vendor(df: DataFrame, weight: str | None = None) -> DataFrame:
     return counts_by(df, "vendor", "products_sold", weight)
 
 
+def _on_spine(counts: DataFrame, value: str) -> DataFrame:
+    """``counts`` has at most one row per weekday name, so it is safe to broadcast."""
+    spine = counts.sparkSession.createDataFrame(list(enumerate(WEEKDAYS, 1)), "ord int, day_of_week string")
+    filled = F.coalesce(F.col(value), F.lit(0).cast("bigint")).alias(value)
+    return spine.join(F.broadcast(counts), "day_of_week", "left").select("ord", "day_of_week", filled).orderBy("ord")
+
+
 def weekday_spine(counts: DataFrame, value: str = "sales_count") -> DataFrame:
     """All seven weekdays, Monday first, with 0 where ``counts`` has no row.
 
-    ``counts`` has one row per weekday name, so the broadcast side holds at most seven
-    matching rows.
+    Rows of ``counts`` with the same name are added up, other names are dropped.
     """
-    spark = counts.sparkSession
-    spine = spark.createDataFrame(list(enumerate(WEEKDAYS, 1)), "ord int, day_of_week string")
     known = counts.where(F.col("day_of_week").isin(*WEEKDAYS))
-    return (
-        spine.join(F.broadcast(known), "day_of_week", "left")
-        .select("ord", "day_of_week", F.coalesce(F.col(value), F.lit(0).cast("bigint")).alias(value))
-        .orderBy("ord")
-    )
+    return _on_spine(known.groupBy("day_of_week").agg(F.sum(value).alias(value)), value)
 
 
 def order_weekday(df: DataFrame, column: str = "day_of_week") -> DataFrame:
@@ -83,7 +83,7 @@ def sales_by_weekday(df: DataFrame, weight: str | None = None) -> DataFrame:
     """
     days = sales_per_day(df, weight).select(weekday_name("sold_date").alias("day_of_week"), "sales_count")
     counts = days.groupBy("day_of_week").agg(F.sum("sales_count").alias("sales_count"))
-    return weekday_spine(counts).select("day_of_week", "sales_count")
+    return _on_spine(counts, "sales_count").select("day_of_week", "sales_count")
 
 
 def sales_per_day(df: DataFrame, weight: str | None = None) -> DataFrame:

@@ -77,9 +77,26 @@ def dq_valid_vendors(
     return not_in_seed(df.select(column).distinct(), column, seed, seed_column)
 
 
-def check_staging(df: DataFrame, model: str, columns: Sequence[str] = STAGING_NOT_NULL) -> DataFrame:
-    """All checks of a staging model."""
-    return dq_not_null(df, model, columns).unionByName(dq_unique(df, model, "id"))
+def check_staging(
+    df: DataFrame, model: str, columns: Sequence[str] = STAGING_NOT_NULL, key: Sequence[str] = ("id",)
+) -> DataFrame:
+    """All checks of a staging model in one pass: NULLs per column, and a unique ``key``.
+
+    NULLs are counted per key and then summed.  On deduplicated input the grouping reuses
+    the partitioning of the deduplication, so the checks add no shuffle of rows.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns]
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    zero = F.lit(0).cast("bigint")
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(f"_null_{c}"), zero).alias(f"not_null {c}") for c in columns],
+        F.count_if(has_key & (F.col("_n") > 1)).alias(f"unique {key[-1]}"),
+    )
+    names = F.split("name", " ")
+    return totals.unpivot([], totals.columns, "name", "failures").select(
+        F.lit(model).alias("model"), names[0].alias("check"), names[1].alias("column"), "failures"
+    )
 
 
 def check_sold(df: DataFrame, model: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.operators.guard import open_stores
-from shelfmark.operators.quality import STAGING_NOT_NULL, check_sold, dq_gate, dq_not_null, dq_unique
+from shelfmark.operators.quality import STAGING_NOT_NULL, check_sold, check_staging, dq_gate
 from shelfmark.operators.sold import (
     day_before,
     filter_snapshot_day,
@@ -55,20 +55,28 @@ def land_days(
 ) -> dict[tuple[str, str], int]:
     """Raw pages to base snapshots to the ``products`` table, for any number of drops.
 
-    Repeating a drop replaces it in both places.  Returns rows landed per drop.
+    Repeating a drop replaces it in both places.  Returns rows landed per drop.  JSON is
+    parsed once, straight into Parquet; the range partitioning by vendor, which samples its
+    input first, starts from the Parquet copy.
     """
     drops = list(drops)
     rows = flatten_nested(read_raw_days(spark, raw_root, drops, schema, multi_line))
-    write_base_parquet(cluster_by_vendor(rows, by=tuple(SNAPSHOT_PARTITIONS)), base_root)
+    write_base_parquet(rows, base_root)
     base = read_base_days(spark, base_root, drops)
     ensure_table(spark, products, base, SNAPSHOT_PARTITIONS, path)
-    return replace_days(spark, products, base, drops)
+    return replace_days(spark, products, cluster_by_vendor(base, by=tuple(SNAPSHOT_PARTITIONS)), drops)
 
 
-def staged_day(history: DataFrame, stores: Sequence[StoreSpec], day: str, as_of: str) -> DataFrame:
-    """Staging rows of one snapshot of all shops, one per (store, id)."""
-    snapshot = filter_snapshot_day(history, day)
-    return enrich_stores(latest_by_id(snapshot, ("store", "id")), stores, as_of)
+def staged_day(
+    history: DataFrame, stores: Sequence[StoreSpec], day: str, as_of: str, columns: Sequence[str]
+) -> DataFrame:
+    """Staging rows of one snapshot of all shops, one per (store, id).
+
+    Only ``columns`` and what the deduplication needs are shuffled.
+    """
+    enriched = enrich_stores(filter_snapshot_day(history, day), stores, as_of)
+    needed = list(dict.fromkeys(("store", "id", "updated_at", *columns)))
+    return latest_by_id(enriched.select(*needed), ("store", "id"))
 
 
 def build_sold(
@@ -117,7 +125,8 @@ def build_sold(
     )
     rows = project_sold_ext(gone)
     ensure_table(spark, sold, rows, SOLD_PARTITIONS, path)
-    return append_day(spark, sold, rows)
+    # Few of the compared rows sold: gather them into well-sized files per shop.
+    return append_day(spark, sold, rows.hint("rebalance", F.col("store")))
 
 
 def publish_views(spark: SparkSession, sold: str, stores: Sequence[StoreSpec] = STORES) -> None:
@@ -161,10 +170,9 @@ def run_day(
     report.landed = land_days(spark, raw_root, base_root, products, drops, schema, path=products_path)
     if check:
         history = spark.table(products).where(F.col("store").isin([s.name for s in active]))
-        staged = staged_day(history, active, day, as_of or day)
+        staged = staged_day(history, active, day, as_of or day, STAGING_NOT_NULL)
         # Ids are unique within a shop only.
-        keyed = staged.select(F.struct("store", "id").alias("id"))
-        dq_gate([dq_not_null(staged, "staging", STAGING_NOT_NULL), dq_unique(keyed, "staging")])
+        dq_gate([check_staging(staged, "staging", key=("store", "id"))])
     report.sold = build_sold(spark, products, sold, day, active, as_of=as_of, path=sold_path)
     if check:
         dq_gate([check_sold(spark.table(sold).where(F.col("sold_date") == day), "sold")])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +47,12 @@ def _listings(pages: DataFrame, *keep: Column) -> DataFrame:
     return pages.select(*keep, F.inline(products))
 
 
-def _require_files(pages: DataFrame, paths: list[str]) -> None:
-    found = pages.inputFiles()
-    for path in paths:
-        marker = "/" + path.rstrip("/").split("://")[-1].lstrip("/") + "/"
-        if not any(marker in name for name in found):
-            raise FileNotFoundError(f"no JSON pages below {path}")
+def _require_folders(pages: DataFrame, folders: list[str]) -> None:
+    """Raise unless every folder (the end of a path) holds a page."""
+    found = {unquote(name).rsplit("/", 1)[0] for name in pages.inputFiles()}
+    missing = [f for f in folders if not any(name.endswith("/" + f) for name in found)]
+    if missing or not found:
+        raise FileNotFoundError(f"no JSON pages in {missing or 'the given path'}")
 
 
 def read_raw_json(
@@ -67,7 +68,7 @@ def read_raw_json(
     split large files.  Malformed pages fail the job and a folder without pages raises.
     """
     pages = _page_reader(spark, schema, multi_line).json(path)
-    _require_files(pages, [path])
+    _require_folders(pages, [])
     return _listings(pages)
 
 
@@ -82,9 +83,9 @@ def read_raw_days(
 
     Both columns come from the file path, so a backfill of many days is a single job.
     """
-    paths = [f"{root.rstrip('/')}/{day_path(store, day)}" for store, day in drops]
-    pages = _page_reader(spark, schema, multi_line).json(paths)
-    _require_files(pages, paths)
+    folders = [day_path(store, day) for store, day in drops]
+    pages = _page_reader(spark, schema, multi_line).json([f"{root.rstrip('/')}/{f}" for f in folders])
+    _require_folders(pages, folders)
     file = F.col("_metadata.file_path")
     part = [F.regexp_extract(file, _PAGE_PATH, i) for i in range(1, 5)]
     day = F.make_date(*(p.cast("int") for p in part[1:]))
@@ -135,10 +136,12 @@ def write_base_parquet(
     """Write base snapshots below ``root``, partitioned by store and day.
 
     Only the (store, day) partitions present in ``df`` are replaced, so rerunning a day
-    leaves one copy of it.
+    leaves one copy of it.  Files are ordered by vendor, NULLs last, without a shuffle: the
+    writer sorts each task's rows by partition anyway.
     """
     (
-        df.write.mode("overwrite")
+        df.sortWithinPartitions(*SNAPSHOT_PARTITIONS, F.asc_nulls_last("vendor"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*SNAPSHOT_PARTITIONS)
