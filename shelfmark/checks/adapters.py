@@ -29,43 +29,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _one_of(index: Column, *values: str) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values)).cast("int") + 1)
+def _part(label: str, values: list[str], gaps: int) -> list[str]:
+    """Alternatives of one HTML part; the last ``gaps`` leave it out."""
+    return [f"<b>{label}:</b> {v} <br>" for v in values] + [""] * gaps
+
+
+# Alternatives of each part of a listing's HTML; a number picks one of every list.
+HTML_PARTS: list[list[str]] = [
+    [
+        *(
+            f"<b>Condition:</b> {c}. Light wear to {place}.<br>"
+            for c in ("Excellent", "Very Good", "Good", "Fair")
+            for place in ("corners", "the handles")
+        ),
+        "<b>Condition:</b> Pristine<br>",
+        "<b>Condition:</b>  Good. <br>",
+        "",
+    ],
+    _part("Accessories", ["Dust Bag", "Box, Étui"], 1),
+    [f"Measurements: Height {h}.5, Width {2 * h + 1}, Depth {h % 7 + 1} <br>" for h in range(1, 20)]
+    + [f"Height {h} <br>" for h in range(20, 23)],
+    _part("Exterior Material", ["Leather", "Toile"], 1),
+    _part("Exterior Color", ["Brown", "Black", "Bordeaux", "Gris Élégant"], 1),
+    _part("Interior Material", ["Suede", "Canvas", "Satin"], 4),
+    _part("Interior Color", ["Beige", "Red", "Ivory", "Noir"], 4),
+    _part("Hardware Color", ["Gold", "Silver", "Ruthénium"], 2),
+]
 
 
 def body_html(n: Column) -> Column:
-    """Listing HTML whose parts depend on a number; some are left out for some numbers."""
-    text = n.cast("string")
-
-    def part(label: str, value: Column, when: Column) -> Column:
-        return F.when(when, F.concat(F.lit(f"<b>{label}:</b> "), value, F.lit(" <br>"))).otherwise(F.lit(""))
-
-    condition = F.concat(
-        F.lit("<b>Condition:</b> "),
-        _one_of(n, "Excellent", "Very Good", "Good", "Fair", "Pristine"),
-        F.when(n % 7 == 0, F.lit("")).otherwise(F.concat(F.lit(". Light wear "), text, F.lit(" to corners."))),
-        F.lit("<br>"),
-    )
-    sizes = F.concat(
-        F.lit("Measurements: Height "), (n % 30 + 1).cast("string"), F.lit(".5, Width "), (n % 40 + 2).cast("string"),
-        F.when(n % 4 == 0, F.lit("")).otherwise(F.concat(F.lit(", Depth "), (n % 9 + 1).cast("string"))), F.lit(" <br>"),
-    )
+    """Listing HTML for a number."""
     return F.concat(
-        F.when(n % 11 == 0, F.lit("")).otherwise(condition),
-        part("Accessories", _one_of(n, "Dust Bag", "Box, Étui", "None"), n % 2 == 0),
-        sizes,
-        part("Exterior Material", _one_of(n, "Leather", "Toile"), n % 3 != 0),
-        part("Exterior Color", _one_of(n, "Brown", "Black", "Bordeaux", "Gris Élégant"), n % 5 != 0),
-        part("Interior Material", _one_of(n, "Suede", "Canvas"), n % 6 != 0),
-        part("Interior Color", _one_of(n, "Beige", "Red"), n % 7 != 0),
-        part("Hardware Color", _one_of(n, "Gold", "Silver"), n % 8 != 0),
+        *[
+            F.element_at(F.array(*[F.lit(t) for t in texts]), (n % len(texts)).cast("int") + 1)
+            for texts in HTML_PARTS
+        ]
     )
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing history from ``events``, with ``event_id`` to break ties."""
-    events = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("k")
     day = F.to_date("ts")
     price = F.col("value").cast("decimal(12,3)").cast("string")
     no_variants = F.array().cast("array<struct<price:string>>")

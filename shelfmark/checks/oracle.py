@@ -2,40 +2,15 @@
 
 from __future__ import annotations
 
-from shelfmark.checks.adapters import EVENT_STORES, TODAY, YESTERDAY
+from shelfmark.checks.adapters import EVENT_STORES, HTML_PARTS, TODAY, YESTERDAY
 from shelfmark.operators.quality import MART_NOT_NULL, SOLD_NOT_NULL, STAGING_NOT_NULL
 from shelfmark.stores import HTML_ATTRIBUTES
 
 
-def _pick(index: str, *values: str) -> str:
-    items = ", ".join(f"'{v}'" for v in values)
-    return f"list_extract([{items}], ({index}) % {len(values)} + 1)"
-
-
 def body_html(n: str) -> str:
-    def part(label: str, value: str, when: str) -> str:
-        return f"CASE WHEN {when} THEN '<b>{label}:</b> ' || {value} || ' <br>' ELSE '' END"
-
-    condition = (
-        "'<b>Condition:</b> ' || " + _pick(n, "Excellent", "Very Good", "Good", "Fair", "Pristine")
-        + f" || CASE WHEN {n} % 7 = 0 THEN '' ELSE '. Light wear ' || {n} || ' to corners.' END || '<br>'"
-    )
-    sizes = (
-        f"'Measurements: Height ' || ({n} % 30 + 1) || '.5, Width ' || ({n} % 40 + 2)"
-        f" || CASE WHEN {n} % 4 = 0 THEN '' ELSE ', Depth ' || ({n} % 9 + 1) END || ' <br>'"
-    )
-    return " || ".join(
-        [
-            f"CASE WHEN {n} % 11 = 0 THEN '' ELSE {condition} END",
-            part("Accessories", _pick(n, "Dust Bag", "Box, Étui", "None"), f"{n} % 2 = 0"),
-            sizes,
-            part("Exterior Material", _pick(n, "Leather", "Toile"), f"{n} % 3 <> 0"),
-            part("Exterior Color", _pick(n, "Brown", "Black", "Bordeaux", "Gris Élégant"), f"{n} % 5 <> 0"),
-            part("Interior Material", _pick(n, "Suede", "Canvas"), f"{n} % 6 <> 0"),
-            part("Interior Color", _pick(n, "Beige", "Red"), f"{n} % 7 <> 0"),
-            part("Hardware Color", _pick(n, "Gold", "Silver"), f"{n} % 8 <> 0"),
-        ]
-    )
+    """Listing HTML for a number."""
+    lists = ["[" + ", ".join(f"'{t}'" for t in texts) + "]" for texts in HTML_PARTS]
+    return " || ".join(f"list_extract({t}, {n} % {len(texts)} + 1)" for t, texts in zip(lists, HTML_PARTS))
 
 
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"

@@ -82,8 +82,9 @@ def snapshot_diff_days(
     rows = history.where(F.col("ingestion_date").isin(befores))
     gone = latest_by_id(rows, (*keys, "ingestion_date"), order, ties, text_order)
     day_earlier = F.date_format(F.date_sub(F.to_date("ingestion_date"), 1), "yyyy-MM-dd")
-    listed = history.where(F.col("ingestion_date").isin(days)).select(*keys, "ingestion_date").distinct()
-    listed = listed.withColumn("ingestion_date", day_earlier)
+    # Shifted before the distinct, so that its partitioning is the one the join needs.
+    listed = history.where(F.col("ingestion_date").isin(days))
+    listed = listed.select(*keys, day_earlier.alias("ingestion_date")).distinct()
     gone = gone.join(listed, [*keys, "ingestion_date"], "left_anti")
     next_day = F.date_format(F.date_add(F.to_date("ingestion_date"), 1), "yyyy-MM-dd")
     return gone.withColumn("sold_date", next_day)
