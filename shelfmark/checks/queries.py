@@ -188,10 +188,12 @@ def ensure_table(spark, sf_dir):
     )
 
 
-@query("limit_zero", o.with_(o.LISTINGS, o.staged(), select=_TABLE_ROWS + " LIMIT 0"))
+@query("limit_zero", o.with_(o.LISTINGS, o.staged(), select=_TABLE_ROWS))
 def limit_zero(spark, sf_dir):
-    name, _ = _products_table(spark, sf_dir, load=False)
-    return spark.table(name)
+    """The empty table's schema alone, and all rows brought into it."""
+    name, rows = _products_table(spark, sf_dir, load=False)
+    empty = spark.table(name)
+    return empty.unionByName(src.align_to_table(rows, empty.schema))
 
 
 @query("append_day", o.with_(o.LISTINGS, o.staged(), select=_TABLE_ROWS))
@@ -662,7 +664,7 @@ def duplicate_keys(spark, sf_dir):
 
 
 def _brand_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands of all parts of the two commonest size halves; the others are outside."""
+    """A whitelist: the brands sorting below ``Brand#20``."""
     return table(spark, sf_dir, "part").where("p_brand < 'Brand#20'").select(F.col("p_brand").alias("vendor"))
 
 
@@ -955,7 +957,7 @@ def _box_queries(column: str, label: str) -> None:
 _box_queries("price", "price")
 _box_queries("days_on_market", "days")
 
-# Order totals divided by ten million, squared and cubed: long-tailed whole numbers with outliers.
+# Cubed order totals: long-tailed whole numbers with outliers.
 _TAIL_SQL = (
     "tail AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS INTEGER) // 1000 AS k FROM orders), "
     "tailed AS (SELECT o_orderkey, CAST(k * k * k // 1000 AS INTEGER) AS price FROM tail)"

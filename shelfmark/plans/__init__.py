@@ -1,4 +1,4 @@
-from shelfmark.plans.daily import DayReport, build_sold, land_days, publish_views, run_day
+from shelfmark.plans.daily import DayReport, build_sold, land_days, publish_views, rebuild_sold, run_day
 from shelfmark.plans.dashboard import dashboard
 
-__all__ = ["DayReport", "build_sold", "dashboard", "land_days", "publish_views", "run_day"]
+__all__ = ["DayReport", "build_sold", "dashboard", "land_days", "publish_views", "rebuild_sold", "run_day"]

@@ -15,14 +15,20 @@ from shelfmark.operators.sold import (
     day_before,
     filter_snapshot_day,
     last_available_day,
-    project_mart,
-    project_sold,
     project_sold_ext,
     require_complete_day,
     snapshot_diff,
+    snapshot_diff_days,
 )
 from shelfmark.operators.staging import enrich_stores, latest_by_id
-from shelfmark.schemas import PRODUCT, SNAPSHOT_PARTITIONS, SOLD_EXT_COLUMNS, SOLD_PARTITIONS
+from shelfmark.schemas import (
+    MART_COLUMNS,
+    PRODUCT,
+    SNAPSHOT_PARTITIONS,
+    SOLD_COLUMNS,
+    SOLD_EXT_COLUMNS,
+    SOLD_PARTITIONS,
+)
 from shelfmark.sources.landing import (
     cluster_by_vendor,
     flatten_nested,
@@ -30,7 +36,7 @@ from shelfmark.sources.landing import (
     read_raw_days,
     write_base_parquet,
 )
-from shelfmark.sources.tables import append_day, ensure_table, materialize_view, replace_days
+from shelfmark.sources.tables import append_day, ensure_table, replace_days, store_view
 from shelfmark.stores import STORES, StoreSpec
 
 
@@ -79,6 +85,14 @@ def staged_day(
     return latest_by_id(enriched.select(*needed), ("store", "id"))
 
 
+def _sold_input(enriched: DataFrame) -> DataFrame:
+    """Only the columns of a sold row and what the diff compares."""
+    for column in ("condition", "exterior_color"):
+        if column not in enriched.columns:
+            enriched = enriched.withColumn(column, F.lit(None).cast("string"))
+    return enriched.select(*[c for c in SOLD_EXT_COLUMNS if c != "sold_date"], "ingestion_date", "updated_at")
+
+
 def build_sold(
     spark: SparkSession,
     products: str,
@@ -115,33 +129,52 @@ def build_sold(
     if min_share is not None:
         require_complete_day(history, today, yesterday, min_share)
 
-    enriched = enrich_stores(history, stores, as_of or today)
-    for column in ("condition", "exterior_color"):
-        if column not in enriched.columns:
-            enriched = enriched.withColumn(column, F.lit(None).cast("string"))
-    needed = [c for c in SOLD_EXT_COLUMNS if c != "sold_date"] + ["ingestion_date", "updated_at"]
-    gone = snapshot_diff(
-        enriched.select(*needed), today, yesterday, ("store", "id"), mode, text_order=text_order
-    )
+    enriched = _sold_input(enrich_stores(history, stores, as_of or today))
+    gone = snapshot_diff(enriched, today, yesterday, ("store", "id"), mode, text_order=text_order)
     rows = project_sold_ext(gone)
     ensure_table(spark, sold, rows, SOLD_PARTITIONS, path)
     # Few of the compared rows sold: gather them into well-sized files per shop.
     return append_day(spark, sold, rows.hint("rebalance", F.col("store")))
 
 
-def publish_views(spark: SparkSession, sold: str, stores: Sequence[StoreSpec] = STORES) -> None:
+def rebuild_sold(
+    spark: SparkSession,
+    products: str,
+    sold: str,
+    days: Sequence[str],
+    stores: Sequence[StoreSpec] = STORES,
+    text_order: bool = False,
+    path: str | None = None,
+) -> dict[tuple[str, str], int]:
+    """Recompute the sales of many run dates in one job and replace those partitions.
+
+    For backfills the guard would block, and for catching up on many days.  Ages count up
+    to each sale's own date.  Returns rows written per (store, day).
+    """
+    names = [s.name for s in stores]
+    history = spark.table(products).where(F.col("store").isin(names))
+    as_of = F.date_add(F.to_date("ingestion_date"), 1)
+    enriched = _sold_input(enrich_stores(history, stores, as_of))
+    gone = snapshot_diff_days(enriched, days, ("store", "id"), text_order=text_order)
+    rows = project_sold_ext(gone)
+    ensure_table(spark, sold, rows, SOLD_PARTITIONS, path)
+    drops = [(name, day) for name in names for day in days]
+    return replace_days(spark, sold, rows.hint("rebalance", F.col("store"), F.col("sold_date")), drops, "sold_date")
+
+
+def publish_views(
+    spark: SparkSession, sold: str, stores: Sequence[StoreSpec] = STORES, database: str | None = None
+) -> None:
     """``inc_<store>__sold_products`` per shop and the ``sold_products`` mart over all.
 
     The shops share one table partitioned by store, so a shop's view prunes to its
-    partitions and the mart is a projection instead of a union.
+    partitions and the mart is a projection instead of a union.  The views are stored in
+    the catalog, for other sessions too.
     """
-    table = spark.table(sold)
     for spec in stores:
-        rows = table.where(F.col("store") == spec.name)
-        rows = project_sold_ext(rows) if spec.attributes else project_sold(rows)
-        materialize_view(rows, f"inc_{spec.name}__sold_products")
-    known = table.where(F.col("store").isin([s.name for s in stores]))
-    materialize_view(project_mart(known), "sold_products")
+        columns = SOLD_EXT_COLUMNS if spec.attributes else SOLD_COLUMNS
+        store_view(spark, f"inc_{spec.name}__sold_products", sold, columns, [spec.name], database)
+    store_view(spark, "sold_products", sold, MART_COLUMNS, [s.name for s in stores], database)
 
 
 def run_day(

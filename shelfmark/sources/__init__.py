@@ -25,6 +25,7 @@ from shelfmark.sources.tables import (
     replace_day,
     replace_days,
     scan_table,
+    store_view,
 )
 
 __all__ = [
@@ -52,5 +53,6 @@ __all__ = [
     "replace_days",
     "scan_table",
     "stamp_ingestion_date",
+    "store_view",
     "write_base_parquet",
 ]

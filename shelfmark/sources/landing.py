@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,11 +154,18 @@ def _base_dir(root: str, store: str, day: str) -> str:
     return f"{root.rstrip('/')}/store={store}/ingestion_date={day}"
 
 
-def purge_base_day(spark: SparkSession, root: str, store: str, day: str) -> None:
-    """Empty one (store, day) base snapshot; other days, also ``day`` + digits, stay."""
+def purge_base_day(spark: SparkSession, root: str, store: str, day: str) -> bool:
+    """Empty one (store, day) base snapshot; other days, also ``day`` + digits, stay.
+
+    False if the day was never written.
+    """
     path = _base_dir(root, store, day)
-    empty = spark.createDataFrame([], spark.read.parquet(path).schema)
-    empty.write.mode("overwrite").parquet(path)
+    try:
+        schema = spark.read.parquet(path).schema
+    except AnalysisException:
+        return False
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    return True
 
 
 def read_base_parquet(spark: SparkSession, root: str, store: str, day: str) -> DataFrame:

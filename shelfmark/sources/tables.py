@@ -182,6 +182,23 @@ def materialize_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
+def store_view(
+    spark: SparkSession,
+    name: str,
+    table: str,
+    columns: Iterable[str],
+    stores: Iterable[str],
+    database: str | None = None,
+) -> None:
+    """Publish columns of some shops' rows of a table as a view in the catalog."""
+    target = f"{database}.{name}" if database else name
+    chosen = ", ".join(f"`{c}`" for c in columns)
+    names = ", ".join(_text(s) for s in stores)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_name(target)} AS SELECT {chosen} FROM {_name(table)} WHERE store IN ({names})"
+    )
+
+
 def materialize_incremental(
     spark: SparkSession,
     name: str,

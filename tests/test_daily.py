@@ -5,7 +5,7 @@ from fixtures import product, write_page
 from pyspark.sql import functions as F
 
 from shelfmark import operators as op
-from shelfmark.plans import build_sold, land_days, run_day
+from shelfmark.plans import build_sold, land_days, rebuild_sold, run_day
 from shelfmark.streaming import catch_up
 
 
@@ -112,3 +112,17 @@ def test_catch_up_lands_touched_days_whole(spark, place, tmp_path):
     assert calls == [[("vsp", "2024-12-01"), ("vsp", "2024-12-10")], [("vsp", "2024-12-01")]]
     got = {(r["ingestion_date"], r["id"]) for r in spark.table(place["products"]).collect()}
     assert got == {("2024-12-01", 1), ("2024-12-10", 2), ("2024-12-01", 3)}
+
+
+def test_rebuild_equals_daily_runs_and_replaces(spark, place, tmp_path):
+    seed_pages(place["raw_root"])
+    days = ("2024-12-09", "2024-12-10", "2024-12-11")
+    for day in days:
+        run(spark, place, day)
+    again = f"sold_{uuid.uuid4().hex}"
+    for _ in range(2):
+        written = rebuild_sold(spark, place["products"], again, days, path=str(tmp_path / "again"))
+        assert sum(written.values()) == 8 and written[("vsp", "2024-12-10")] == 2
+    rows, daily = spark.table(again), spark.table(place["sold"])
+    assert rows.columns == daily.columns
+    assert rows.exceptAll(daily).count() == 0 and daily.exceptAll(rows).count() == 0
