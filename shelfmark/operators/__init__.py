@@ -30,7 +30,7 @@ from shelfmark.operators.filters import (
     matches,
     prepare_sold,
 )
-from shelfmark.operators.guard import high_water_mark, incremental_guard, latest_or_never, open_stores
+from shelfmark.operators.guard import guard_passes, incremental_guard, latest_or_never, open_stores
 from shelfmark.operators.points import (
     ordered_category,
     points,

@@ -14,6 +14,15 @@ def latest_or_never(column: str = "sold_date") -> Column:
     return F.coalesce(F.max(F.col(column).cast("string")), F.lit(NEVER))
 
 
+def _reached(target: DataFrame, today: str, column: str) -> DataFrame:
+    """Rows of ``today`` or later, all the guard has to look at.
+
+    If there are none the maximum is earlier than ``today`` and the guard passes either
+    way; on a table partitioned by the date only those partitions are read.
+    """
+    return target.where(F.col(column) >= today)
+
+
 def incremental_guard(
     new_rows: DataFrame, target: DataFrame | None, today: str, column: str = "sold_date"
 ) -> DataFrame:
@@ -24,12 +33,14 @@ def incremental_guard(
     """
     if target is None:
         return new_rows
-    return new_rows.where(F.lit(today) > target.agg(latest_or_never(column)).scalar())
+    latest = _reached(target, today, column).agg(latest_or_never(column)).scalar()
+    return new_rows.where(F.lit(today) > latest)
 
 
-def high_water_mark(target: DataFrame, column: str = "sold_date") -> str:
-    """The guard's date as a Python value (one row is fetched)."""
-    return target.agg(latest_or_never(column).alias("latest")).first()["latest"]
+def guard_passes(target: DataFrame, today: str, column: str = "sold_date") -> bool:
+    """The guard's verdict as a Python value (one row is fetched)."""
+    latest = _reached(target, today, column).agg(latest_or_never(column).alias("latest"))
+    return today > latest.first()["latest"]
 
 
 def open_stores(target: DataFrame, stores: list[str], today: str, column: str = "sold_date") -> list[str]:
@@ -38,6 +49,7 @@ def open_stores(target: DataFrame, stores: list[str], today: str, column: str =
     At most one row per named shop is fetched.  Filtering the history by the result prunes
     whole partitions of shops that are already done.
     """
-    marks = target.where(F.col("store").isin(stores)).groupBy("store").agg(latest_or_never(column).alias("latest"))
+    reached = _reached(target, today, column).where(F.col("store").isin(stores))
+    marks = reached.groupBy("store").agg(latest_or_never(column).alias("latest"))
     done = {row["store"] for row in marks.collect() if today <= row["latest"]}
     return [s for s in stores if s not in done]

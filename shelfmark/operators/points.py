@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.operators.aggregates import counts_by
 from shelfmark.session import ensure_checkpoint_dir
 
 # Category tables up to this many rows are ranked in one task and broadcast.

@@ -210,13 +210,13 @@ def materialize_incremental(
 ) -> int:
     """Append ``rows`` of ``today`` unless the table already holds that day or a later one.
 
-    The first call creates the table.  The stored maximum is read before planning the
-    append (one row), so a blocked run does not compute ``rows`` at all.  Returns rows
+    The first call creates the table.  The guard is read before planning the append (one
+    row), so a blocked run does not compute ``rows`` at all.  Returns rows
     written.
     """
-    from shelfmark.operators.guard import high_water_mark
+    from shelfmark.operators.guard import guard_passes
 
     if not ensure_table(spark, name, rows, partitions, path):
-        if today <= high_water_mark(spark.table(name), column):
+        if not guard_passes(spark.table(name), today, column):
             return 0
     return append_day(spark, name, rows)

@@ -170,7 +170,9 @@ def test_guard(spark):
     assert op.incremental_guard(new, None, "2024-12-01").count() == 1
     assert op.incremental_guard(new, target.where("false"), "2024-12-01").count() == 1
     assert [op.incremental_guard(new, target, d).count() for d in ("2024-12-07", "2024-12-08", "2024-12-09")] == [0, 0, 1]
-    assert op.high_water_mark(target.where("false")) == "1970-01-01"
+    assert [op.guard_passes(target, d) for d in ("2024-12-07", "2024-12-08", "2024-12-09")] == [False, False, True]
+    assert op.guard_passes(target.where("false"), "2024-12-01")
+    assert op.open_stores(target.withColumn("store", F.lit("a")), ["a", "b"], "2024-12-08") == ["b"]
 
 
 def test_mart_unites_tables_of_different_width(spark):
