@@ -57,14 +57,11 @@ HTML_PARTS: list[list[str]] = [
 ]
 
 
-def body_html(n: Column) -> Column:
-    """Listing HTML for a number."""
-    return F.concat(
-        *[
-            F.element_at(F.array(*[F.lit(t) for t in texts]), (n % len(texts)).cast("int") + 1)
-            for texts in HTML_PARTS
-        ]
-    )
+def body_html(n: str) -> Column:
+    """Listing HTML for a number, given as a SQL expression."""
+    lists = ["array(" + ", ".join(f"'{t}'" for t in texts) + ")" for texts in HTML_PARTS]
+    picks = [f"element_at({a}, int(({n}) % {len(texts)}) + 1)" for a, texts in zip(lists, HTML_PARTS)]
+    return F.expr(f"concat({', '.join(picks)})")
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +76,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("id"),
         F.when(k % 17 != 0, F.concat(F.lit("Item "), F.col("user_id").cast("string"), F.lit(" Chloé"))).alias("title"),
         F.concat_ws("-", "event_type", F.col("user_id").cast("string")).alias("handle"),
-        body_html(F.col("user_id") + k).alias("body_html"),
+        body_html("user_id + k").alias("body_html"),
         F.when(k % 23 != 0, F.concat(F.lit("Brand#"), (F.col("user_id") % 30).cast("string"))).alias("vendor"),
         F.concat(F.lit("Type "), (F.col("user_id") % 6).cast("string")).alias("product_type"),
         F.concat(F.date_format(F.date_sub(day, k), "yyyy-MM-dd"), F.lit("T23:30:00-05:00")).alias("published_at"),

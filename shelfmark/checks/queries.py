@@ -456,7 +456,7 @@ _LINE_HTML = f"lines AS (SELECT l_orderkey, l_linenumber, {o.body_html('(l_partk
 
 def _line_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem")
-    return rows.select("l_orderkey", "l_linenumber", body_html(F.col("l_partkey") + F.col("l_suppkey")).alias("body_html"))
+    return rows.select("l_orderkey", "l_linenumber", body_html("l_partkey + l_suppkey").alias("body_html"))
 
 
 @query("extract_attributes", o.with_(_LINE_HTML, select=f"SELECT l_orderkey, l_linenumber, {o.ATTRIBUTES} FROM lines"))

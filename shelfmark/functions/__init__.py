@@ -3,6 +3,7 @@ from shelfmark.functions.columns import (
     date_label,
     days_on_market,
     extract_attribute,
+    no_match_is_null,
     product_url,
     variant_price,
     weekday_name,
@@ -14,6 +15,7 @@ __all__ = [
     "date_label",
     "days_on_market",
     "extract_attribute",
+    "no_match_is_null",
     "product_url",
     "variant_price",
     "weekday_name",

@@ -34,13 +34,17 @@ def days_on_market(published_at: Column | str, as_of: Column | str) -> Column:
     return F.datediff(end, zone_local_date(published_at))
 
 
-def extract_attribute(source: Column | str, pattern: str, group: int = 1) -> Column:
-    """Regex group, NULL when nothing matches.
+def no_match_is_null(extracted: Column) -> Column:
+    """NULL for the '' that ``regexp_extract`` gives without a match.
 
-    ``regexp_extract`` gives '' without a match.  No pattern used here can match an empty
-    group, so '' always means "no match".
+    No pattern used here can match an empty group, so '' always means "no match".
     """
-    return F.nullif(F.regexp_extract(_col(source), pattern, group), F.lit(""))
+    return F.nullif(extracted, F.lit(""))
+
+
+def extract_attribute(source: Column | str, pattern: str, group: int = 1) -> Column:
+    """Regex group, NULL when nothing matches."""
+    return no_match_is_null(F.regexp_extract(_col(source), pattern, group))
 
 
 def weekday_name(day: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.functions import days_on_market, extract_attribute, product_url, variant_price
+from shelfmark.functions import days_on_market, extract_attribute, no_match_is_null, product_url, variant_price
 from shelfmark.stores import StoreSpec
 
 
@@ -79,19 +79,21 @@ def enrich_stores(df: DataFrame, stores: Sequence[StoreSpec], as_of: Column | st
     Attribute columns of any shop are present for all and NULL where the shop has none.
     """
     store = F.col("store")
-    url = F.lit(None).cast("string")
-    names: dict[str, Column] = {}
+    no_text = F.lit(None).cast("string")
+    url, found = no_text, {}
     for spec in stores:
-        url = F.when(store == spec.name, product_url(spec.url_base)).otherwise(url)
+        own = store == spec.name
+        url = F.when(own, product_url(spec.url_base)).otherwise(url)
         for name, (pattern, group) in spec.attributes.items():
-            value = extract_attribute("body_html", pattern, group)
-            names[name] = F.when(store == spec.name, value).otherwise(names.get(name, F.lit(None).cast("string")))
+            text = F.regexp_extract("body_html", pattern, group)
+            found[name] = F.when(own, text).otherwise(found.get(name, no_text))
     return df.withColumns(
         {
             "price": variant_price(),
             "url": url,
             "days_on_market": days_on_market("published_at", as_of),
-            **names,
+            # Outside the condition, where Spark evaluates the regex once for the test and the value.
+            **{name: no_match_is_null(text) for name, text in found.items()},
         }
     )
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,14 +20,6 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    try:
-        spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return False
-    return True
-
-
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     """Overwrite only the partitions written.  Inserts read this from the session alone."""
@@ -62,7 +53,9 @@ def ensure_table(
     keys = ", ".join(f"`{c}`" for c in partitions)
     location = "" if path is None else f" LOCATION {_text(path)}"
     spark.sql(f"CREATE TABLE {_name(name)} ({ddl}) USING parquet PARTITIONED BY ({keys}){location}")
-    if path is not None and _exists(spark, path, df.schema):
+    if path is not None:
+        # Appending no rows makes sure the folder is there to look into.
+        df.limit(0).write.mode("append").partitionBy(*partitions).parquet(path)
         spark.catalog.recoverPartitions(name)
     return True
 
