@@ -104,6 +104,18 @@ def delete_day(
         )
 
 
+def _drop_counts(
+    spark: SparkSession, name: str, drops: list[tuple[str, str]], column: str
+) -> dict[tuple[str, str], int]:
+    """Rows per (store, day) partition, for the drops that have any; one row each is fetched."""
+    days = spark.table(name).where(
+        F.col("store").isin(sorted({s for s, _ in drops})) & F.col(column).isin(sorted({d for _, d in drops}))
+    )
+    counts = days.groupBy("store", column).agg(F.count(F.lit(1)).alias("n")).collect()
+    found = {(r["store"], r[column]): r["n"] for r in counts}
+    return {drop: found[drop] for drop in drops if drop in found}
+
+
 def replace_days(
     spark: SparkSession,
     name: str,
@@ -113,29 +125,31 @@ def replace_days(
 ) -> dict[tuple[str, str], int]:
     """Replace the given (store, day) partitions by the rows of ``df`` in one job.
 
-    Returns rows written per drop.  Old partitions stay readable until the job commits, so
-    a failed attempt can simply be repeated.  A drop without rows ends up empty.  Rows
-    outside ``drops`` fail the job instead of replacing a partition nobody named.
+    Returns rows per drop.  Old partitions stay readable until the job commits, so a failed
+    attempt can simply be repeated.  A drop without rows ends up empty.  Rows outside
+    ``drops`` fail the job instead of replacing a partition nobody named, and so does a
+    difference between the rows written and those found afterwards.
     """
+    drops = list(drops)
     rows = align_to_table(df, spark.table(name).schema)
-    hits = [(F.col("store") == s) & (F.col(column) == d) for s, d in drops]
-    named = F.lit(False)
-    for hit in hits:
-        named = named | hit
-    guarded = rows.where(
-        F.when(F.coalesce(named, F.lit(False)), F.lit(True)).otherwise(
-            F.raise_error(F.lit("row outside the days to replace")).cast("boolean")
-        )
-    )
+    key = F.concat_ws("/", "store", column)
+    named = F.col("store").isNotNull() & F.col(column).isNotNull() & key.isin([f"{s}/{d}" for s, d in drops])
+    outside = F.raise_error(F.lit("row outside the days to replace")).cast("boolean")
+    guarded = rows.where(F.when(named, F.lit(True)).otherwise(outside))
+
     seen = Observation()
-    counts = [F.count_if(hit).alias(f"n{i}") for i, hit in enumerate(hits)]
+    metrics = F.count(F.lit(1)).alias("written"), F.collect_set(key).alias("filled")
     with _dynamic_overwrite(spark):
-        guarded.observe(seen, *counts).write.mode("overwrite").insertInto(name)
-    written = {drop: seen.get[f"n{i}"] for i, drop in enumerate(drops)}
-    for (store, day), n in written.items():
-        if n == 0:
-            delete_day(spark, name, day, [store], column)
-    return written
+        guarded.observe(seen, *metrics).write.mode("overwrite").insertInto(name)
+
+    counts = _drop_counts(spark, name, drops, column)
+    filled = set(seen.get["filled"])
+    for store, day in [d for d in counts if "/".join(d) not in filled]:
+        delete_day(spark, name, day, [store], column)
+        counts.pop((store, day))
+    if sum(counts.values()) != seen.get["written"]:
+        raise RuntimeError(f"{name}: wrote {seen.get['written']} rows but found {sum(counts.values())}")
+    return {drop: counts.get(drop, 0) for drop in drops}
 
 
 def replace_day(

@@ -95,3 +95,13 @@ def test_incremental_append(spark, tmp_path):
                for d in ("2024-12-09", "2024-12-09", "2024-12-08", "2024-12-10")]
     assert written == [1, 0, 0, 1]
     assert sorted(r["sold_date"] for r in spark.table(name).collect()) == ["2024-12-09", "2024-12-10"]
+
+
+def test_replace_many_days_at_once(spark, table):
+    drops = [(s, f"2024-{m:02d}-{d:02d}") for s in ("dct", "vsp") for m in range(1, 13) for d in range(1, 29)]
+    src.append_day(spark, table, rows(spark, (7, "a", "vsp", "2024-03-01"), (8, "a", "vsp", "2023-12-31")))
+    new = spark.createDataFrame([(i, "v", s, d) for i, (s, d) in enumerate(drops) if s == "dct"], SCHEMA)
+    counts = src.replace_days(spark, table, new, drops)
+    assert len(counts) == len(drops) and sum(counts.values()) == len(drops) // 2
+    assert counts[("vsp", "2024-03-01")] == 0
+    assert [r for r in content(spark, table) if r[1] == "vsp"] == [(8, "vsp", "2023-12-31")]
