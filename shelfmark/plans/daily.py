@@ -32,6 +32,7 @@ from shelfmark.schemas import (
 from shelfmark.sources.landing import (
     cluster_by_vendor,
     flatten_nested,
+    landed_stores,
     read_base_days,
     read_raw_days,
     write_base_parquet,
@@ -45,6 +46,7 @@ class DayReport:
     """What one run wrote."""
 
     day: str
+    missing: list[str] = field(default_factory=list)
     landed: dict[tuple[str, str], int] = field(default_factory=dict)
     sold: int = 0
 
@@ -193,12 +195,19 @@ def run_day(
 ) -> DayReport:
     """One scheduled day for every shop that had started by then.  Safe to repeat.
 
-    A failing check raises before the next step, so nothing is built on bad rows.
+    A failing check raises before the next step, so nothing is built on bad rows.  Shops
+    without pages that day are left out and named in the report; they can be run later,
+    since the append guard is per shop.
     """
-    active = [s for s in stores if s.start_date <= day]
+    started = [s for s in stores if s.start_date <= day]
     report = DayReport(day)
-    if not active:
+    if not started:
         return report
+    present = landed_stores(spark, raw_root, day, [s.name for s in started])
+    active = [s for s in started if s.name in present]
+    report.missing = [s.name for s in started if s.name not in present]
+    if not active:
+        raise FileNotFoundError(f"no JSON pages of any shop for {day}")
     drops = [(s.name, day) for s in active]
     report.landed = land_days(spark, raw_root, base_root, products, drops, schema, path=products_path)
     if check:

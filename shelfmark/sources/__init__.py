@@ -5,6 +5,7 @@ from shelfmark.sources.landing import (
     day_path,
     day_path_column,
     flatten_nested,
+    landed_stores,
     purge_base_day,
     read_base_days,
     read_base_parquet,
@@ -41,6 +42,7 @@ __all__ = [
     "ensure_table",
     "export_csv",
     "flatten_nested",
+    "landed_stores",
     "load_seed",
     "materialize_incremental",
     "materialize_view",

@@ -95,6 +95,18 @@ def read_raw_days(
     )
 
 
+def landed_stores(spark: SparkSession, root: str, day: str, stores: Iterable[str]) -> list[str]:
+    """The shops that have JSON pages for the day.  Lists files, reads none."""
+    names = list(stores)
+    folders = f"{root.rstrip('/')}/" + day_path("{" + ",".join(names) + "}", day)
+    try:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folders).inputFiles()
+    except AnalysisException:
+        return []
+    found = {unquote(name).rsplit("/", 1)[0] for name in files}
+    return [s for s in names if any(folder.endswith("/" + day_path(s, day)) for folder in found)]
+
+
 def flatten_nested(df: DataFrame, sep: str = ".") -> DataFrame:
     """Lift fields of nested structs to the top level as ``a<sep>b``; arrays stay as they are."""
 

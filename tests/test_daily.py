@@ -1,3 +1,4 @@
+import os
 import uuid
 
 import pytest
@@ -69,6 +70,20 @@ def test_stores_join_on_their_first_day(spark, place):
     assert run(spark, place, "2024-11-12").landed == {}
 
 
+def test_a_shop_without_pages_does_not_hold_up_the_others(spark, place):
+    seed_pages(place["raw_root"])
+    run(spark, place, "2024-12-09")
+    folder = f"{place['raw_root']}/dct/2024/12/10"
+    os.rename(f"{folder}/1.json", f"{folder}/1.late")
+    late = run(spark, place, "2024-12-10")
+    assert late.missing == ["dct"] and late.sold == 6
+    os.rename(f"{folder}/1.late", f"{folder}/1.json")
+    again = run(spark, place, "2024-12-10")
+    assert again.missing == [] and again.sold == 2
+    with pytest.raises(FileNotFoundError):
+        run(spark, place, "2024-12-31")
+
+
 def test_failing_check_stops_before_the_diff(spark, place):
     seed_pages(place["raw_root"])
     run(spark, place, "2024-12-09")
