@@ -5,8 +5,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+QUERIES = entry_module.QUERIES
+ORACLE = entry_module.ORACLE
 
 
 @pytest.fixture(scope="module")
