@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import hosts, pareto, ring
+from shelfmark.llm import hosts, merkle, pareto, ring, vptree, windows
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edit_against_next(table(spark, sf_dir, "documents"))
+
+
 def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring.ring_shards(table(spark, sf_dir, "documents"), 40)
     return placed.select(
@@ -36,10 +40,23 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.substring_dedup(table(spark, sf_dir, "documents"), 50).drop("removed")
+
+
+def op9_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vptree.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op3_pareto_mix": op3_pareto_mix,
+    "op4_merkle_tree": op4_merkle_tree,
     "op5_ring_shards": op5_ring_shards,
     "op7_host_reputation": op7_host_reputation,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op9_simhash_vptree": op9_simhash_vptree,
 }
 
 ORACLE: dict[str, str] = {"op3_pareto_mix": pareto.SQL, "op7_host_reputation": hosts.SQL}
