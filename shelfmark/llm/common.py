@@ -44,8 +44,7 @@ def cut(df: DataFrame) -> DataFrame:
 
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows (counted), else as it is."""
-    few = len(df.limit(max_rows + 1).select(F.lit(1)).head(max_rows + 1)) if max_rows <= 1000 else df.count()
-    return F.broadcast(df) if few <= max_rows else df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def search(bounds: list[int], value: Column) -> Column:

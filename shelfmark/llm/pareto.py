@@ -17,10 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import cut, id_text, position52, word_count
+from shelfmark.llm.common import cut, id_text, position52, small, word_count
 
 CELLS = 65536
 SEED = "mix"
+MAX_SOURCES = 100_000  # rules of so many sources (counted) are broadcast; more are joined by shuffling
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0) -> DataFrame:
@@ -79,10 +80,10 @@ def mixing_rules(
         .withColumn("chance", ratio - F.col("whole"))
         .withColumn("lacking", F.col("target") - F.col("whole") * F.col("source_size"))
     )
-    drawn = plan.where("chance > 0").select("source", "chance", "lacking")
+    drawn = small(plan.where("chance > 0").select(F.col("source").alias("s"), "chance", "lacking"), MAX_SOURCES)
     ranked = (
         sized.where("size > 0")
-        .join(drawn.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .join(drawn, F.col("source").eqNullSafe(F.col("s")))
         .drop("s")
         .withColumn("rank", _rank(seed))
         .withColumn("cell", _cell())
@@ -126,27 +127,25 @@ def pareto_mix(docs: DataFrame, *, seed: str = SEED, **options) -> DataFrame:
     to reach: whole copies are 0 then.  An empty table gives an empty result.
     """
     sized = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), id_text().alias("key"), word_count().alias("size")))
-    rules = mixing_rules(sized, seed=seed, **options).withColumnRenamed("source", "s")
+    rules = small(cut(mixing_rules(sized, seed=seed, **options)).withColumnRenamed("source", "s"), MAX_SOURCES)
     mixed = sized.join(rules, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", _copies(seed))
     taken = (F.col("copies") * F.col("size")).alias("taken")
     return mixed.select("doc_id", "source", "size", "source_size", "target", "copies", taken)
 
 
-def mixed_documents(docs: DataFrame, *, seed: str = SEED, max_sources: int = 100_000, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, seed: str = SEED, **options) -> DataFrame:
     """The documents of the mix themselves, whole rows, each as often as the mix takes it.
 
-    Documents without words are kept once, as they cost the mix nothing.  The rules of at most
-    ``max_sources`` sources (counted) are broadcast, so texts are not shuffled; more are joined by
-    shuffling.
+    Documents without words are kept once, as they cost the mix nothing.  Texts are not shuffled
+    unless there are more than ``MAX_SOURCES`` sources.
     """
     columns = docs.columns
     sized = cut(docs.select(F.col("source").cast("string").alias("source"), id_text().alias("key"), word_count().alias("size")))
     rules = cut(mixing_rules(sized, seed=seed, **options))
-    few = rules.count() <= max_sources
     rule = rules.select(F.col("source").alias("__s"), F.struct("whole", "chance", "cut_cell", "cut_rank", "cut_key").alias("__rule"))
-    joined = docs.join(F.broadcast(rule) if few else rule, docs["source"].cast("string").eqNullSafe(F.col("__s")), "left")
-    key = F.struct(F.col("*"))
-    narrow = joined.select(key.alias("row"), id_text().alias("key"), "__rule", word_count().alias("size"))
+    joined = docs.join(small(rule, MAX_SOURCES), docs["source"].cast("string").eqNullSafe(F.col("__s")), "left")
+    row = F.struct(*[docs[c] for c in columns]).alias("row")
+    narrow = joined.select(row, id_text().alias("key"), "__rule", word_count().alias("size"))
     wide = narrow.select("row", "key", "size", "__rule.*")
     copies = F.when(F.col("size") == 0, 1).otherwise(_copies(seed))
     repeated = wide.select(F.explode(F.array_repeat("row", copies.cast("int"))).alias("row"))

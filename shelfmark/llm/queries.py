@@ -10,12 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import hosts, merkle, pareto, ring, vptree, windows
+from shelfmark.llm import hosts, merkle, pareto, qgrams, ring, toxicity, vptree, windows
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qgrams.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = pareto.pareto_mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +37,16 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    scored = toxicity.toxicity_scores(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.coalesce(bad, F.lit(0)).alias("bad"))
@@ -51,9 +65,11 @@ def op9_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_merkle_tree": op4_merkle_tree,
     "op5_ring_shards": op5_ring_shards,
+    "op6_ftrl_toxicity": op6_ftrl_toxicity,
     "op7_host_reputation": op7_host_reputation,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash_vptree": op9_simhash_vptree,
