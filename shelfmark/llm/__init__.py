@@ -1 +1,8 @@
 """Operators for preparing training corpora, one module each."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python tasks travel with the job, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import hosts, merkle, pareto, qgrams, ring, toxicity, vptree, windows
+from shelfmark.llm import hosts, lines, merkle, pareto, qgrams, ring, toxicity, vptree, windows
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,10 @@ def op9_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_pareto_mix": op3_pareto_mix,
@@ -73,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op7_host_reputation": op7_host_reputation,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash_vptree": op9_simhash_vptree,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {"op3_pareto_mix": pareto.SQL, "op7_host_reputation": hosts.SQL}
