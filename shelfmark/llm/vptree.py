@@ -170,7 +170,7 @@ def links_within(points: np.ndarray, radius: int, depth: int = 0) -> tuple[np.nd
 
 
 def _leaf_links(radius: int, group: pd.DataFrame) -> pd.DataFrame:
-    points = np.unique(group["fp"].to_numpy(np.int64)).view(np.uint64)
+    points = np.unique(group["fp"].to_numpy(np.int64).view(np.uint64))
     a, b = links_within(points, radius)
     if len(a):
         places = leaders(len(points), np.searchsorted(points, a), np.searchsorted(points, b))
