@@ -10,12 +10,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import hosts, lines, merkle, pareto, qgrams, ring, toxicity, vptree, windows
+from shelfmark.llm import hosts, lines, merkle, pareto, qgrams, ring, surrogates, toxicity, vptree, windows
 from shelfmark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.with_surrogates(table(spark, sf_dir, "documents"), "production-key")
+
+
 def op2_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qgrams.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_surrogates": op1_surrogates,
     "op2_qgram_decontamination": op2_qgram_decontamination,
     "op3_pareto_mix": op3_pareto_mix,
     "op4_merkle_tree": op4_merkle_tree,
