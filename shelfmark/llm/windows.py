@@ -7,7 +7,8 @@ all documents reaches its reducer as one row per slice.  Spark then groups the w
 whole corpus; all but the smallest document of a window are told to remove it.  Finally every
 document marks its removed windows, merges them into maximal intervals, and drops their words.
 
-Word and window hashes have 64 bits. 
+Word and window hashes have 64 bits.  Exact copies of a text are found first, by a digest of the
+whole text; they need no search, as all their windows start in the first of them. 
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import per_batch, text_of
+from shelfmark.llm.common import cut, per_batch, text_of
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+NO_ID = -(1 << 63)  # stands for a null doc_id
 SLICE = 1_000_000  # words hashed together
 
 
@@ -153,11 +155,13 @@ def _kept(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         if len(seen) > 1_000_000:
             seen.clear()
         out: list[tuple] = []
-        texts, found = batch.column(1).to_pylist(), batch.column(2)
+        texts, copies, found = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
         for i, doc_id in enumerate(batch.column(0).to_pylist()):
             words = texts[i].encode("utf-8", "surrogatepass").split()
             spans: list[tuple[int, int]] = []
-            if found[i].is_valid:
+            if copies[i]:
+                spans = [(0, len(words))] if len(words) >= length else []
+            elif found[i].is_valid:
                 repeated = found[i].values.to_numpy(zero_copy_only=False)
                 spans = removal_intervals(window_hashes(word_hashes(words, seen), length).view(np.int64), repeated, length)
             kept, at = [], 0
@@ -166,6 +170,7 @@ def _kept(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 at = end
             kept += words[at:]
             marks = [{"start": a, "end": b} for a, b in spans]
+            doc_id = None if doc_id == NO_ID else doc_id
             out.append((doc_id, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest(), marks))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), spans_type]
         columns = zip(*out) if out else ([],) * 5
@@ -174,6 +179,21 @@ def _kept(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         )
 
 
+def exact_copies(rows: DataFrame) -> DataFrame:
+    """(key, copy = true) of the documents whose whole text also belongs to a smaller key.
+
+    Keys with several rows are left to the windows.
+    """
+    digests = cut(
+        rows.select("key", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("digest"))
+        .where("n = 1")
+    )
+    firsts = digests.groupBy("digest").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return cut(digests.join(firsts.select("digest", "first"), "digest").where("key > first").select("key", F.lit(True).alias("copy")))
+
+
 def substring_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     """Remove every word in a window of ``length`` words that also starts in a smaller doc_id.
 
@@ -182,8 +202,12 @@ def substring_dedup(docs: DataFrame, length: int = 50) -> DataFrame:
     window are kept.  doc_ids are unique; a null one counts as smaller than all others, and rows
     that share a doc_id are no reason to remove each other's windows.
     """
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), text_of().alias("text"))
-    repeated = repeated_windows(rows.select(F.col("key").alias("doc_id"), "text"), length)
-    joined = rows.join(repeated.withColumnRenamed("doc_id", "key"), "key", "left").select("doc_id", "text", "hashes")
-    return joined.mapInArrow(per_batch(_kept, length), KEPT)
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    rows = docs.select(key.alias("key"), text_of().alias("text"))
+    copies = exact_copies(rows)
+    # One shuffle of the texts serves both readers: what is searched and what is cut.
+    dealt = rows.repartition("key")
+    searched = dealt.join(copies, "key", "left").where(F.coalesce(~F.col("copy"), F.lit(True))).select(F.col("key").alias("doc_id"), "text")
+    repeated = repeated_windows(searched, length).withColumnRenamed("doc_id", "key")
+    joined = dealt.join(copies, "key", "left").join(repeated, "key", "left")
+    return joined.select("key", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "hashes").mapInArrow(per_batch(_kept, length), KEPT)
