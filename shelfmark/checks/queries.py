@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark import functions as fn
 from shelfmark import operators as op
+from shelfmark import plans
 from shelfmark import sources as src
 from shelfmark.checks import oracle as o
 from shelfmark.checks.adapters import EVENT_STORES, TODAY, YESTERDAY, body_html, listings, sold_view, table
@@ -139,6 +141,19 @@ def write_base_parquet(spark, sf_dir):
 
 @query("read_base_parquet", o.with_(o.LISTINGS, select=_BASE_COLUMNS))
 def read_base_parquet(spark, sf_dir):
+    """Every drop by itself, united."""
+    root = _base(spark, sf_dir)
+    days = [
+        src.read_base_parquet(spark, root, store, day).select(
+            "event_id", "id", "vendor", "updated_at", F.lit(store).alias("store"), F.lit(day).alias("ingestion_date")
+        )
+        for store, day in _drops(spark, sf_dir)
+    ]
+    return reduce(DataFrame.unionByName, days)
+
+
+@query("read_base_days", o.with_(o.LISTINGS, select=_BASE_COLUMNS))
+def read_base_days(spark, sf_dir):
     return src.read_base_days(spark, _base(spark, sf_dir), _drops(spark, sf_dir))
 
 
@@ -201,6 +216,29 @@ def append_day(spark, sf_dir):
     return spark.table(_products_table(spark, sf_dir)[0])
 
 
+@query(
+    "append_day_drift",
+    o.with_(
+        o.LISTINGS,
+        select="SELECT event_id, first_price AS price, handle AS sku, CASE WHEN event_id % 2 = 0 THEN store END AS shop, store, "
+        "ingestion_date FROM listings",
+    ),
+)
+def append_day_drift(spark, sf_dir):
+    """Two halves whose variants have other fields in another order, appended one after the other."""
+    rows = listings(spark, sf_dir)
+    price, sku = F.get("variants", F.lit(0))["price"].alias("price"), F.col("handle").alias("sku")
+    keys = [F.col("store"), F.col("ingestion_date")]
+    even = rows.where("event_id % 2 = 0").select("event_id", F.array(F.struct(price, sku, F.col("store").alias("shop"))).alias("variants"), *keys)
+    odd = rows.where("event_id % 2 <> 0").select("event_id", F.array(F.struct(sku, price)).alias("variants"), *keys)
+    name = f"drift_{uuid.uuid4().hex}"
+    src.ensure_table(spark, name, even, path=scratch_path(spark, "drift"))
+    for half in (even, odd):
+        src.append_day(spark, name, half)
+    first = F.get("variants", F.lit(0))
+    return spark.table(name).select("event_id", first["price"].alias("price"), first["sku"].alias("sku"), first["shop"].alias("shop"), *keys)
+
+
 @query("scan_table", o.with_(o.LISTINGS, o.staged(), select=_TABLE_ROWS))
 def scan_table(spark, sf_dir):
     return src.scan_table(spark, _products_table(spark, sf_dir)[0])
@@ -326,11 +364,24 @@ def _feed_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select("store", "day")
 
 
-@query("coverage_grid", f"WITH {_FEEDS_SQL} SELECT store, day FROM grid")
-def coverage_grid(spark, sf_dir):
+@query("expand_days", f"WITH {_FEEDS_SQL} SELECT store, day FROM grid")
+def expand_days(spark, sf_dir):
     return _feed_grid(spark, sf_dir)
 
 
+@query(
+    "coverage_grid",
+    "WITH span AS (SELECT min(CAST(ts AS DATE)) AS a, max(CAST(ts AS DATE)) AS b FROM events), "
+    "shops AS (SELECT DISTINCT event_type AS store FROM events) "
+    "SELECT store, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM shops, span",
+)
+def coverage_grid(spark, sf_dir):
+    """Every shop of the events on every day from the first to the last."""
+    day = F.to_date("ts")
+    facts = table(spark, sf_dir, "events").agg(F.collect_set("event_type").alias("shops"), F.min(day).alias("a"), F.max(day).alias("b")).first()
+    return op.coverage_grid(spark, facts["shops"], str(facts["a"]), str(facts["b"] + dt.timedelta(days=1)))
+
+
 @query(
     "missing_drops",
     f"WITH {_FEEDS_SQL} SELECT store, day FROM grid WHERE NOT EXISTS (SELECT 1 FROM events "
@@ -401,17 +452,19 @@ def latest_by_id_per_day(spark, sf_dir):
     "stage",
     o.with_(
         o.LISTINGS,
-        "own AS (SELECT * FROM listings WHERE store = 'click')",
-        o.latest("own", "id"),
+        o.latest("listings", "store, id"),
         o.staged(TODAY, "latest"),
         select="SELECT event_id, id, store, price, url, days_on_market, " + ", ".join(HTML_ATTRIBUTES) + " FROM staged",
     ),
 )
 def stage(spark, sf_dir):
-    spec = EVENT_STORES[0]
-    history = listings(spark, sf_dir).where(F.col("store") == spec.name)
-    rows = op.stage(history, spec, TODAY, LISTING_TIES)
-    return rows.select("event_id", "id", "store", "price", "url", "days_on_market", *HTML_ATTRIBUTES)
+    """The staging models of all shops, united."""
+    history = listings(spark, sf_dir)
+    base = ["event_id", "id", "store", "price", "url", "days_on_market"]
+    models = [
+        op.stage(history.where(F.col("store") == s.name), s, TODAY, LISTING_TIES, columns=[*base, *s.attributes]) for s in EVENT_STORES
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), models).select(*base, *HTML_ATTRIBUTES)
 
 
 @query(
@@ -553,6 +606,30 @@ def snapshot_diff_days(spark, sf_dir):
     return gone.drop("ingestion_date", "updated_at")
 
 
+@query(
+    "rebuild_sold",
+    o.with_(
+        o.LISTINGS,
+        f"kept AS (SELECT * FROM listings WHERE NOT (store = 'click' AND ingestion_date = '{TODAY}'))",
+        o.latest("kept", "store, id, ingestion_date"),
+        select="SELECT id, store, vendor, strftime(CAST(ingestion_date AS DATE) + 1, '%Y-%m-%d') AS sold_date FROM latest l "
+        "WHERE EXISTS (SELECT 1 FROM kept d WHERE d.store = l.store AND CAST(d.ingestion_date AS DATE) = CAST(l.ingestion_date AS DATE) + 1) "
+        "AND NOT EXISTS (SELECT 1 FROM kept n WHERE n.store = l.store AND n.id = l.id "
+        "AND CAST(n.ingestion_date AS DATE) = CAST(l.ingestion_date AS DATE) + 1)",
+    ),
+)
+def rebuild_sold(spark, sf_dir):
+    """Sales of every day; one shop has no snapshot on one day and sells nothing then."""
+    rows = listings(spark, sf_dir).where(~((F.col("store") == "click") & (F.col("ingestion_date") == TODAY))).drop("event_id")
+    products, sold = (f"{kind}_{uuid.uuid4().hex}" for kind in ("products", "sold"))
+    src.ensure_table(spark, products, rows, path=scratch_path(spark, "products"))
+    src.append_day(spark, products, src.cluster_by_vendor(rows, by=("store", "ingestion_date")))
+    span = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")).alias("a"), F.max(F.to_date("ts")).alias("b")).first()
+    days = [str(span["a"] + dt.timedelta(days=n)) for n in range(1, (span["b"] - span["a"]).days + 1)]
+    plans.rebuild_sold(spark, products, sold, days, EVENT_STORES, path=scratch_path(spark, "sold"))
+    return spark.table(sold).select("id", "store", "vendor", "sold_date")
+
+
 @query("project_sold", _gone_sql(_SOLD_SQL))
 def project_sold(spark, sf_dir):
     return op.project_sold(_gone(spark, sf_dir))
@@ -608,12 +685,9 @@ def coalesce_default(spark, sf_dir):
     o.with_(o.LISTINGS, o.staged(), select="SELECT vendor, title, price, days_on_market, store, ingestion_date AS sold_date FROM staged"),
 )
 def sold_products_mart(spark, sf_dir):
-    history = listings(spark, sf_dir)
-    tables = []
-    for spec in EVENT_STORES:
-        rows = op.enrich(history.where(F.col("store") == spec.name), spec, TODAY)
-        tables.append(rows.withColumnRenamed("ingestion_date", "sold_date"))
-    return op.sold_products_mart(tables)
+    """One scan: the sold tables of all shops are one table with a column for the shop."""
+    rows = op.enrich_stores(listings(spark, sf_dir), EVENT_STORES, TODAY)
+    return op.sold_products_mart([rows.withColumnRenamed("ingestion_date", "sold_date")])
 
 
 # Data quality
@@ -718,10 +792,15 @@ def select_distinct(spark, sf_dir):
     ),
 )
 def dq_gate(spark, sf_dir):
-    """Failing checks of three models, the ones the gate would raise on."""
+    """Failing checks of three models, from the error that the gate raises on them."""
     staged = op.dq_not_null(_staged(spark, sf_dir), "stg_events", o.STAGING_COLUMNS)
     sold = sold_view(spark, sf_dir, ["id", "vendor", "title", "price", "product_type", "days_on_market", "sold_date"])
-    return op.dq_failures([staged, op.check_sold(sold, "sold"), op.check_mart(sold, "mart")])
+    failed = []
+    try:
+        op.dq_gate([staged, op.check_sold(sold, "sold"), op.check_mart(sold, "mart")])
+    except op.DataQualityError as error:
+        failed = error.failures
+    return spark.createDataFrame([tuple(r) for r in failed], "model string, check string, column string, failures long")
 
 
 # Report preparation and filters
@@ -819,25 +898,20 @@ def sales_by_weekday(spark, sf_dir):
     return op.sales_by_weekday(_report(spark, sf_dir, "sold_date"))
 
 
-_DEAR_SQL = (
-    "dear AS (SELECT dayname(o_orderdate) AS day_of_week, count(*) AS n FROM orders "
-    "WHERE o_totalprice > 300000 AND dayofweek(o_orderdate) NOT IN (0, 3) GROUP BY 1)"
-)
+_BY_NAME_SQL = "by_name AS (SELECT dayname(o_orderdate) AS day_of_week, count(*) AS n FROM orders GROUP BY 1)"
 
 
 @query(
     "weekday_spine",
     o.with_(
-        _DEAR_SQL,
+        _BY_NAME_SQL,
         select=f"SELECT ord, spine.day_of_week, coalesce(n, 0) AS sales_count FROM {o.WEEKDAY_SPINE} "
-        "LEFT JOIN dear USING (day_of_week)",
+        "LEFT JOIN by_name USING (day_of_week)",
     ),
 )
 def weekday_spine(spark, sf_dir):
-    """Two weekdays have no rows here."""
     name = fn.weekday_name("o_orderdate")
-    orders = table(spark, sf_dir, "orders").where(F.col("o_totalprice") > 300000)
-    orders = orders.where(~name.isin("Sunday", "Wednesday"))
+    orders = table(spark, sf_dir, "orders")
     return op.weekday_spine(orders.groupBy(name.alias("day_of_week")).agg(F.count(F.lit(1)).alias("sales_count")))
 
 
@@ -957,17 +1031,16 @@ def _box_queries(column: str, label: str) -> None:
 _box_queries("price", "price")
 _box_queries("days_on_market", "days")
 
-# Cubed order totals: long-tailed whole numbers with outliers.
+# Fifth powers of order totals: long-tailed whole numbers with outliers.
 _TAIL_SQL = (
-    "tail AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS INTEGER) // 1000 AS k FROM orders), "
-    "tailed AS (SELECT o_orderkey, CAST(k * k * k // 1000 AS INTEGER) AS price FROM tail)"
+    "tail AS (SELECT o_orderkey, CAST(CAST(floor(o_totalprice) AS INTEGER) // 1000 AS BIGINT) AS k FROM orders), "
+    "tailed AS (SELECT o_orderkey, CAST(k * k * k * k * k // 1000000 AS INTEGER) AS price FROM tail)"
 )
 
 
 def _tailed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.floor(F.floor("o_totalprice").cast("int") / 1000)
-    orders = table(spark, sf_dir, "orders")
-    return orders.select("o_orderkey", F.floor(k * k * k / 1000).cast("int").alias("price"))
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.expr("cast(floor(o_totalprice) as int) div 1000"))
+    return orders.select("o_orderkey", F.expr("k * k * k * k * k div 1000000").cast("int").alias("price"))
 
 
 @query(
@@ -982,10 +1055,10 @@ def box_outliers(spark, sf_dir):
 
 
 @query("box_stats_empty", "SELECT CAST(NULL AS DOUBLE) AS q1, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS q3 FROM "
-       "(SELECT count(*) AS n FROM orders WHERE o_totalprice < 0)")
+       "(SELECT count(*) AS n FROM orders)")
 def box_stats_empty(spark, sf_dir):
-    """No row passes the filter: one row of NULLs."""
-    return op.quartiles(_tailed(spark, sf_dir).where("price < 0"), "price")
+    """No row has a value: one row of NULLs."""
+    return op.quartiles(_tailed(spark, sf_dir).select(F.when(F.col("o_orderkey") < 0, F.col("price")).alias("price")), "price")
 
 
 _RANKS_SQL = (
@@ -1004,8 +1077,7 @@ def ordered_category(spark, sf_dir):
     "SELECT o_custkey, count(*) AS \"count\", row_number() OVER (ORDER BY count(*) DESC, o_custkey) AS rank FROM orders GROUP BY 1",
 )
 def ordered_category_many(spark, sf_dir):
-    """The distributed ranking, as used for category tables over the limit."""
-    return op.ordered_category(table(spark, sf_dir, "orders").select("o_custkey"), "o_custkey", limit=0)
+    return op.ordered_category(table(spark, sf_dir, "orders").select("o_custkey"), "o_custkey")
 
 
 @query(
@@ -1054,3 +1126,19 @@ def currency_label(spark, sf_dir):
         F.round("l_extendedprice").cast("bigint") * F.col("l_quantity").cast("bigint") / (F.col("l_suppkey") % 500 + 1)
     ) * 50
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", fn.currency_label(amount).alias("label"))
+
+
+@query(
+    "dashboard",
+    o.with_(
+        o.REPORT,
+        select="SELECT sold_date, vendor, count(*) AS sales_count, "
+        "strftime(sold_date, '%Y-%m-%d') || chr(10) || '(' || dayname(sold_date) || ')' AS label FROM report "
+        "WHERE vendor IS NOT NULL AND sold_date IS NOT NULL GROUP BY sold_date, vendor",
+    ),
+)
+def dashboard(spark, sf_dir):
+    """The per-vendor series of the report page, from the rollup that most of its frames share."""
+    columns = ["id", "store", "vendor", "title", "price", "product_type", "condition", "exterior_color", "days_on_market", "sold_date"]
+    page = plans.dashboard(sold_view(spark, sf_dir, columns), type_chart=False)
+    return page["sales_per_day_vendor"]

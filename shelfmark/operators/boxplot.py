@@ -53,30 +53,18 @@ def _five_numbers(df: DataFrame, column: str) -> DataFrame:
     return stats.select("least", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(len(QUARTILES))])
 
 
-def quartiles(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
-    """``q1``, ``median``, ``q3`` of an integer column, linearly interpolated.
-
-    ``approx=True`` uses Spark's sketch instead of exact ranks.
-    """
-    if approx:
-        q = F.percentile_approx(column, list(QUARTILES), 10_000)
-        stats = df.agg(q.alias("q"))
-        return stats.select(*[F.col("q")[i].cast("double").alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+def quartiles(df: DataFrame, column: str) -> DataFrame:
+    """``q1``, ``median``, ``q3`` of an integer column, exact and linearly interpolated."""
     return _five_numbers(df, column).select("q1", F.col("q2").alias("median"), "q3")
 
 
-def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, column: str) -> DataFrame:
     """One row of box-plot figures; all NULL when no row has a value.
 
     ``box_min`` and ``box_max`` are the 1.5·IQR limits, with the column minimum in place of
     a negative lower limit.  ``lower_fence`` is the limit before that replacement.
     """
-    if approx:
-        q = F.percentile_approx(column, list(QUARTILES), 10_000)
-        stats = df.agg(q.alias("q"), F.min(column).alias("least"))
-        stats = stats.select("least", *[F.col("q")[i].cast("double").alias(f"q{i + 1}") for i in range(3)])
-    else:
-        stats = _five_numbers(df, column)
+    stats = _five_numbers(df, column)
     iqr = F.col("q3") - F.col("q1")
     fence = F.col("q1") - F.lit(1.5) * iqr
     return stats.select(
@@ -90,9 +78,12 @@ def box_stats(df: DataFrame, column: str, approx: bool = False) -> DataFrame:
     )
 
 
-def box_outliers(df: DataFrame, column: str) -> DataFrame:
-    """Rows beyond the 1.5·IQR fences, the points a box plot draws singly."""
-    stats = box_stats(df, column)
+def box_outliers(df: DataFrame, column: str, stats: DataFrame | None = None) -> DataFrame:
+    """Rows beyond the 1.5·IQR fences, the points a box plot draws singly.
+
+    ``stats`` takes the row of ``box_stats`` over the same rows if it is there already.
+    """
+    stats = box_stats(df, column) if stats is None else stats
     fences = stats.select(F.struct("lower_fence", F.col("box_max").alias("upper_fence")).alias("fences")).scalar()
     value = F.col(column)
     return df.where((value < fences["lower_fence"]) | (value > fences["upper_fence"]))

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.session import ensure_checkpoint_dir
 
-# Category tables up to this many rows are ranked in one task and broadcast.
-MAX_BROADCAST_CATEGORIES = 200_000
-
-
 def _rank_sorted(df: DataFrame, *order) -> DataFrame:
     """Number the rows 1..n in the given order without moving them into one partition.
 
@@ -27,47 +23,27 @@ def _rank_sorted(df: DataFrame, *order) -> DataFrame:
     return ranked.withColumn("rank", rank).drop("_part", "_pos", "_n", "_start", "_before")
 
 
-def _ranked_categories(df: DataFrame, column: str, limit: int) -> tuple[DataFrame, bool]:
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    counts = counts.checkpoint()
-    order = (F.desc("count"), F.asc(column))
-    small = counts.count() <= limit
-    if small:
-        ranked = counts.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    else:
-        ranked = _rank_sorted(counts, *order)
-    return ranked, small
-
-
-def ordered_category(df: DataFrame, column: str, limit: int = MAX_BROADCAST_CATEGORIES) -> DataFrame:
+def ordered_category(df: DataFrame, column: str) -> DataFrame:
     """Each value of ``column`` with its row count and rank, 1 for the most frequent.
 
-    Ties are ranked by value.  The counts are computed once, when this is called, and kept
-    in the checkpoint folder; their number decides between a rank in one task and a
-    distributed one.
+    Ties are ranked by value.  The counts are sorted when this is called, in as many tasks as the
+    sort needs, and kept in the checkpoint folder.
     """
-    return _ranked_categories(df, column, limit)[0]
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    return _rank_sorted(counts, F.desc("count"), F.asc(column))
 
 
-def points(
-    df: DataFrame,
-    category: str,
-    value: str = "price",
-    order_by_count: bool = False,
-    limit: int = MAX_BROADCAST_CATEGORIES,
-) -> DataFrame:
+def points(df: DataFrame, category: str, value: str = "price", order_by_count: bool = False) -> DataFrame:
     """(category, value) of every row with a category; with the category's rank on request.
 
-    The ranks are broadcast only after counting them; a larger category table is joined by
-    shuffling, where Spark splits skewed partitions at run time.
+    How the ranks are joined is left to Spark, which splits skewed partitions at run time.
     """
     rows = df.where(F.col(category).isNotNull()).select(category, value)
     if not order_by_count:
         return rows
-    ranked, small = _ranked_categories(df, category, limit)
-    ranks = ranked.select(category, "rank")
-    return rows.join(F.broadcast(ranks) if small else ranks, category).select(category, value, "rank")
+    ranks = ordered_category(df, category).select(category, "rank")
+    return rows.join(ranks, category).select(category, value, "rank")
 
 
 def price_vs_type_points(df: DataFrame) -> DataFrame:

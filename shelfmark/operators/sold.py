@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,6 +22,22 @@ def filter_snapshot_day(history: DataFrame, day: str) -> DataFrame:
     return history.where(F.col("ingestion_date") == day)
 
 
+def last_available_days(history: DataFrame, today: str) -> dict[str, str]:
+    """Latest snapshot of each shop before ``today``; one row per shop is fetched."""
+    before = history.where(F.col("ingestion_date") < today)
+    days = before.groupBy("store").agg(F.max("ingestion_date").alias("day")).collect()
+    return {r["store"]: r["day"] for r in days}
+
+
+def landed_drops(history: DataFrame, days: Sequence[str]) -> set[tuple[str, str]]:
+    """The (store, day) pairs that have a snapshot; one row each is fetched.
+
+    Only partition columns are read.
+    """
+    found = history.where(F.col("ingestion_date").isin(list(days))).select("store", "ingestion_date").distinct()
+    return {(r["store"], r["ingestion_date"]) for r in found.collect()}
+
+
 def last_available_day(history: DataFrame, today: str) -> str | None:
     """Latest snapshot before ``today`` (one row is fetched), None if there is none."""
     before = history.where(F.col("ingestion_date") < today)
@@ -70,11 +86,15 @@ def snapshot_diff_days(
     order: str = "updated_at",
     ties: Sequence[str] = (),
     text_order: bool = False,
+    landed: Iterable[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """``snapshot_diff`` of many run dates at once, for catching up.
 
     Gives the union of the single diffs from one pass: each snapshot row is matched with
     the same key one day later.  A backfill of n days costs one job instead of n.
+
+    ``landed`` names the (store, day) pairs that have a snapshot: without one, all that a shop
+    listed the day before would seem sold, so other pairs give no rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     days = list(days)
@@ -87,7 +107,10 @@ def snapshot_diff_days(
     listed = listed.select(*keys, day_earlier.alias("ingestion_date")).distinct()
     gone = gone.join(listed, [*keys, "ingestion_date"], "left_anti")
     next_day = F.date_format(F.date_add(F.to_date("ingestion_date"), 1), "yyyy-MM-dd")
-    return gone.withColumn("sold_date", next_day)
+    gone = gone.withColumn("sold_date", next_day)
+    if landed is None:
+        return gone
+    return gone.where(F.concat_ws("/", "store", "sold_date").isin([f"{s}/{d}" for s, d in sorted(landed)]))
 
 
 def require_complete_day(history: DataFrame, today: str, yesterday: str, min_share: float) -> None:

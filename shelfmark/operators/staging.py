@@ -105,10 +105,17 @@ def stage(
     ties: Sequence[str] = ("ingestion_date",),
     per_day: bool = False,
     text_order: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Staging model of one shop: latest row per listing, enriched.
 
-    ``per_day`` keeps one row per listing and day instead of one over all days.
+    ``per_day`` keeps one row per listing and day instead of one over all days.  With ``columns``
+    only those come out: rows are then enriched in the scan tasks, and listing HTML is not
+    shuffled unless it is among them.
     """
     keys = ("id", "ingestion_date") if per_day else ("id",)
+    if columns is not None:
+        needed = list(dict.fromkeys((*keys, "updated_at", *ties, *columns)))
+        rows = enrich(history, store, as_of).select(*needed)
+        return latest_by_id(rows, keys, "updated_at", ties, text_order).select(*columns)
     return enrich(latest_by_id(history, keys, "updated_at", ties, text_order), store, as_of)

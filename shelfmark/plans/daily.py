@@ -4,31 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.operators.guard import open_stores
-from shelfmark.operators.quality import STAGING_NOT_NULL, check_sold, check_staging, dq_gate
+from shelfmark.operators.quality import STAGING_NOT_NULL, DataQualityError, check_sold, check_staging, dq_failures_by_store
 from shelfmark.operators.sold import (
     day_before,
     filter_snapshot_day,
-    last_available_day,
+    landed_drops,
+    last_available_days,
     project_sold_ext,
     require_complete_day,
     snapshot_diff,
     snapshot_diff_days,
 )
-from shelfmark.operators.staging import enrich_stores, latest_by_id
+from shelfmark.operators.staging import enrich_stores, latest_by_id, stage
 from shelfmark.schemas import (
     MART_COLUMNS,
-    PRODUCT,
     SNAPSHOT_PARTITIONS,
     SOLD_COLUMNS,
     SOLD_EXT_COLUMNS,
     SOLD_PARTITIONS,
 )
+from shelfmark.session import ensure_checkpoint_dir
 from shelfmark.sources.landing import (
     cluster_by_vendor,
     flatten_nested,
@@ -37,7 +39,7 @@ from shelfmark.sources.landing import (
     read_raw_days,
     write_base_parquet,
 )
-from shelfmark.sources.tables import append_day, ensure_table, replace_days, store_view
+from shelfmark.sources.tables import append_day, ensure_table, materialize_view, replace_days, store_view
 from shelfmark.stores import STORES, StoreSpec
 
 
@@ -49,6 +51,7 @@ class DayReport:
     missing: list[str] = field(default_factory=list)
     landed: dict[tuple[str, str], int] = field(default_factory=dict)
     sold: int = 0
+    failed: dict[str, list[str]] = field(default_factory=dict)
 
 
 def land_days(
@@ -57,15 +60,14 @@ def land_days(
     base_root: str,
     products: str,
     drops: Sequence[tuple[str, str]],
-    schema: T.StructType | None = PRODUCT,
+    schema: T.StructType | None = None,
     multi_line: bool = True,
     path: str | None = None,
 ) -> dict[tuple[str, str], int]:
     """Raw pages to base snapshots to the ``products`` table, for any number of drops.
 
-    Repeating a drop replaces it in both places.  Returns rows landed per drop.  JSON is
-    parsed once, straight into Parquet; the range partitioning by vendor, which samples its
-    input first, starts from the Parquet copy.
+    Repeating a drop replaces it in both places.  Returns rows landed per drop.  All fields of the
+    listings are kept unless a ``schema`` names fewer.
     """
     drops = list(drops)
     rows = flatten_nested(read_raw_days(spark, raw_root, drops, schema, multi_line))
@@ -108,32 +110,46 @@ def build_sold(
     min_share: float | None = None,
     text_order: bool = False,
     path: str | None = None,
+    failed: dict[str, list[str]] | None = None,
 ) -> int:
     """Append the listings sold on ``today``; returns rows written.
 
-    Shops whose stored sales already reach ``today`` are skipped before anything is read.
+    Shops whose stored sales already reach ``today`` are skipped before anything is read, and
+    so are shops without a snapshot of ``today``: all they listed would seem sold.
     Listings are enriched and cut down to the sold columns before the shuffle, so listing
     HTML is parsed in the scan tasks and never moved.  ``previous="last_available"``
-    compares with the latest earlier snapshot when yesterday's is missing.
+    compares each shop with its own latest earlier snapshot when yesterday's is missing.
+
+    With a dictionary ``failed``, rows are checked before they are written: failing shops are
+    entered there with their failures and write nothing.
     """
     history = spark.table(products)
     names = [s.name for s in stores]
     if spark.catalog.tableExists(sold):
         names = open_stores(spark.table(sold), names, today)
+    landed = {store for store, _ in landed_drops(history.where(F.col("store").isin(names)), [today])}
+    names = [n for n in names if n in landed]
     if not names:
         return 0
     history = history.where(F.col("store").isin(names))
 
-    if yesterday is None:
-        yesterday = day_before(today)
-        if previous == "last_available":
-            yesterday = last_available_day(history, today) or yesterday
-    if min_share is not None:
-        require_complete_day(history, today, yesterday, min_share)
-
-    enriched = _sold_input(enrich_stores(history, stores, as_of or today))
-    gone = snapshot_diff(enriched, today, yesterday, ("store", "id"), mode, text_order=text_order)
-    rows = project_sold_ext(gone)
+    before = dict.fromkeys(names, yesterday or day_before(today))
+    if yesterday is None and previous == "last_available":
+        before |= last_available_days(history, today)
+    compared = []
+    for day in sorted(set(before.values())):
+        own = history.where(F.col("store").isin([n for n in names if before[n] == day]))
+        if min_share is not None:
+            require_complete_day(own, today, day, min_share)
+        enriched = _sold_input(enrich_stores(own, stores, as_of or today))
+        compared.append(snapshot_diff(enriched, today, day, ("store", "id"), mode, text_order=text_order))
+    rows = project_sold_ext(reduce(DataFrame.unionByName, compared))
+    if failed is not None:
+        # The rows that are checked are the rows that are written.
+        ensure_checkpoint_dir(spark)
+        rows = rows.checkpoint()
+        failed |= dq_failures_by_store({n: [check_sold(rows.where(F.col("store") == n), f"sold_{n}")] for n in names})
+        rows = rows.where(~F.col("store").isin(list(failed))) if failed else rows
     ensure_table(spark, sold, rows, SOLD_PARTITIONS, path)
     # Few of the compared rows sold: gather them into well-sized files per shop.
     return append_day(spark, sold, rows.hint("rebalance", F.col("store")))
@@ -151,19 +167,33 @@ def rebuild_sold(
     """Recompute the sales of many run dates in one job and replace those partitions.
 
     For backfills the guard would block, and for catching up on many days.  Ages count up
-    to each sale's own date.  Returns rows written per (store, day).
+    to each sale's own date.  Returns rows written per (store, day).  Pairs without a snapshot
+    of that day are left alone and missing from the result: all they listed would seem sold.
     """
     names = [s.name for s in stores]
     history = spark.table(products).where(F.col("store").isin(names))
     as_of = F.date_add(F.to_date("ingestion_date"), 1)
     enriched = _sold_input(enrich_stores(history, stores, as_of))
-    gone = snapshot_diff_days(enriched, days, ("store", "id"), text_order=text_order)
+    drops = sorted(landed_drops(history, days))
+    if not drops:
+        return {}
+    gone = snapshot_diff_days(enriched, days, ("store", "id"), text_order=text_order, landed=drops)
     rows = project_sold_ext(gone)
     ensure_table(spark, sold, rows, SOLD_PARTITIONS, path)
-    drops = [(name, day) for name in names for day in days]
     return replace_days(spark, sold, rows.hint("rebalance", F.col("store"), F.col("sold_date")), drops, "sold_date")
 
 
+def publish_staging(spark: SparkSession, products: str, stores: Sequence[StoreSpec] = STORES, as_of: str | None = None) -> None:
+    """``stg_<store>__products`` per shop: the latest row of each listing with all columns.
+
+    Temporary views of the session, computed when they are read; ages count to ``as_of``, by
+    default to the day of reading.
+    """
+    for spec in stores:
+        history = spark.table(products).where(F.col("store") == spec.name)
+        materialize_view(stage(history, spec, as_of or F.current_date()), f"stg_{spec.name}__products")
+
+
 def publish_views(
     spark: SparkSession, sold: str, stores: Sequence[StoreSpec] = STORES, database: str | None = None
 ) -> None:
@@ -187,7 +217,7 @@ def run_day(
     sold: str,
     day: str,
     stores: Sequence[StoreSpec] = STORES,
-    schema: T.StructType | None = PRODUCT,
+    schema: T.StructType | None = None,
     check: bool = True,
     as_of: str | None = None,
     products_path: str | None = None,
@@ -195,8 +225,9 @@ def run_day(
 ) -> DayReport:
     """One scheduled day for every shop that had started by then.  Safe to repeat.
 
-    A failing check raises before the next step, so nothing is built on bad rows.  Shops
-    without pages that day are left out and named in the report; they can be run later,
+    A shop that fails a check stops there, before anything is built on its bad rows, and the
+    other shops go on; at the end the failing ones are named in an error that carries the report.
+    Shops without pages that day are left out and named in the report.  Both can be run later,
     since the append guard is per shop.
     """
     started = [s for s in stores if s.start_date <= day]
@@ -211,12 +242,28 @@ def run_day(
     drops = [(s.name, day) for s in active]
     report.landed = land_days(spark, raw_root, base_root, products, drops, schema, path=products_path)
     if check:
-        history = spark.table(products).where(F.col("store").isin([s.name for s in active]))
-        staged = staged_day(history, active, day, as_of or day, STAGING_NOT_NULL)
-        # Ids are unique within a shop only.
-        dq_gate([check_staging(staged, "staging", key=("store", "id"))])
-    report.sold = build_sold(spark, products, sold, day, active, as_of=as_of, path=sold_path)
-    if check:
-        dq_gate([check_sold(spark.table(sold).where(F.col("sold_date") == day), "sold")])
-    publish_views(spark, sold, stores)
+        history = spark.table(products)
+        # Ids are unique within a shop only.  Each shop's check reads its own partition.
+        checks = {
+            s.name: [
+                check_staging(
+                    staged_day(history.where(F.col("store") == s.name), [s], day, as_of or day, STAGING_NOT_NULL),
+                    f"stg_{s.name}__products", key=("store", "id"),
+                )
+            ]
+            for s in active
+        }
+        report.failed |= dq_failures_by_store(checks)
+        active = [s for s in active if s.name not in report.failed]
+    if active:
+        sold_failures: dict[str, list[str]] | None = {} if check else None
+        report.sold = build_sold(spark, products, sold, day, active, as_of=as_of, path=sold_path, failed=sold_failures)
+        report.failed |= sold_failures or {}
+    publish_staging(spark, products, stores, as_of)
+    if spark.catalog.tableExists(sold):
+        publish_views(spark, sold, stores)
+    if report.failed:
+        error = DataQualityError("; ".join(f"{s}: {', '.join(f)}" for s, f in sorted(report.failed.items())))
+        error.report = report
+        raise error
     return report

@@ -46,19 +46,21 @@ def dashboard(
     per_day_vendor = sales_per_day_vendor(rollup, weight)
     revenue = revenue_per_day(rollup.select("sold_date", F.col("revenue").alias("price")))
 
+    box_price, box_days = box_stats(rows, "price"), box_stats(rows, "days_on_market")
+
     page = {
         "rows": rows,
         "rollup": rollup,
         "bounds": bounds(prepare_sold(sold)),
         "vendors": distinct_vendors(sold),
         "row_count": row_count(rollup, weight),
-        "box_price": box_stats(rows, "price"),
-        "box_days": box_stats(rows, "days_on_market"),
-        "outliers_price": box_outliers(rows, "price"),
-        "outliers_days": box_outliers(rows, "days_on_market"),
+        "box_price": box_price,
+        "box_days": box_days,
+        "outliers_price": box_outliers(rows, "price", box_price),
+        "outliers_days": box_outliers(rows, "days_on_market", box_days),
         "sales_by_weekday": sales_by_weekday(rollup, weight),
         "sales_per_day": sales_per_day(rollup, weight).withColumn("label", date_label("sold_date", two_lines=True)),
-        "sales_per_day_vendor": per_day_vendor,
+        "sales_per_day_vendor": per_day_vendor.withColumn("label", date_label("sold_date", two_lines=True)),
         "vendor_totals": vendor_totals(per_day_vendor),
         "revenue_per_day": revenue.withColumn("label", currency_label("Total Revenue")),
         "products_by_vendor": products_by_vendor(rollup, weight),

@@ -11,6 +11,7 @@ from shelfmark.sources.landing import (
     read_base_parquet,
     read_raw_days,
     read_raw_json,
+    unread_fields,
     stamp_ingestion_date,
     write_base_parquet,
 )
@@ -51,6 +52,7 @@ __all__ = [
     "read_base_parquet",
     "read_raw_days",
     "read_raw_json",
+    "unread_fields",
     "replace_day",
     "replace_days",
     "scan_table",

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from shelfmark.schemas import PRODUCT, SNAPSHOT_PARTITIONS, page_schema
 
 # <root>/<store>/<year>/<month>/<day>/<page>.json, month and day unpadded.
+VENDOR_PARTS = 16
 _PAGE_PATH = r"/([^/]+)/(\d{4})/(\d{1,2})/(\d{1,2})/[^/]+$"
 
 
@@ -48,36 +49,77 @@ def _listings(pages: DataFrame, *keep: Column) -> DataFrame:
     return pages.select(*keep, F.inline(products))
 
 
-def _require_folders(pages: DataFrame, folders: list[str]) -> None:
+def _page_folders(spark: SparkSession, paths: str | list[str]) -> set[str]:
+    """Folders that hold pages: a job over the file names, of which one row per folder is fetched."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(paths)
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    return {unquote(r["folder"]) for r in files.select(folder.alias("folder")).distinct().collect()}
+
+
+def _require_folders(spark: SparkSession, paths: str | list[str], folders: list[str]) -> None:
     """Raise unless every folder (the end of a path) holds a page."""
-    found = {unquote(name).rsplit("/", 1)[0] for name in pages.inputFiles()}
+    found = _page_folders(spark, paths)
     missing = [f for f in folders if not any(name.endswith("/" + f) for name in found)]
     if missing or not found:
         raise FileNotFoundError(f"no JSON pages in {missing or 'the given path'}")
 
 
+def _merged(needed: T.DataType, found: T.DataType) -> T.DataType:
+    """Needed fields first and of the type they need, then all others that were found."""
+    if isinstance(needed, T.StructType) and isinstance(found, T.StructType):
+        others = {f.name: f.dataType for f in found.fields}
+        fields = [T.StructField(f.name, _merged(f.dataType, others.pop(f.name, f.dataType))) for f in needed.fields]
+        return T.StructType(fields + [T.StructField(n, t) for n, t in others.items()])
+    if isinstance(needed, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(_merged(needed.elementType, found.elementType))
+    return needed
+
+
+def listing_schema(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> T.StructType:
+    """Every field of the listings in the pages, with the columns of ``PRODUCT`` in any case."""
+    pages = _page_reader(spark, None, multi_line).json(paths).schema
+    found = pages["products"].dataType if "products" in pages.names else None
+    listing = found.elementType if isinstance(found, T.ArrayType) else None
+    return _merged(PRODUCT, listing)
+
+
+def unread_fields(spark: SparkSession, paths: str | list[str], schema: T.StructType, multi_line: bool = True) -> list[str]:
+    """Dotted names of the fields that the pages have and reading them with ``schema`` leaves out."""
+
+    def names(kind: T.DataType, path: str) -> list[str]:
+        if isinstance(kind, T.ArrayType):
+            return names(kind.elementType, path)
+        if isinstance(kind, T.StructType):
+            return [n for f in kind.fields for n in names(f.dataType, f"{path}.{f.name}" if path else f.name)]
+        return [path]
+
+    known = set(names(schema, ""))
+    return [n for n in names(listing_schema(spark, paths, multi_line), "") if n not in known]
+
+
 def read_raw_json(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | None = PRODUCT,
+    schema: T.StructType | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Listings of all ``*.json`` pages in a folder, one row each.
+    """Listings of all ``*.json`` pages in a folder, one row each, with every field they have.
 
-    ``schema`` describes one listing; None lets Spark infer it, at the price of a second
-    pass over the pages.  ``multi_line=False`` reads one page per line, which lets Spark
+    The fields are found by a pass over the pages; columns of ``PRODUCT`` that none has are NULL.
+    A ``schema`` of one listing saves that pass and leaves out what it does not name, which
+    ``unread_fields`` lists.  ``multi_line=False`` reads one page per line, which lets Spark
     split large files.  Malformed pages fail the job and a folder without pages raises.
     """
-    pages = _page_reader(spark, schema, multi_line).json(path)
-    _require_folders(pages, [])
-    return _listings(pages)
+    _require_folders(spark, path, [])
+    schema = schema or listing_schema(spark, path, multi_line)
+    return _listings(_page_reader(spark, schema, multi_line).json(path))
 
 
 def read_raw_days(
     spark: SparkSession,
     root: str,
     drops: Iterable[tuple[str, str]],
-    schema: T.StructType | None = PRODUCT,
+    schema: T.StructType | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
     """Listings of many (store, day) drops in one scan, with ``store`` and ``ingestion_date``.
@@ -85,8 +127,10 @@ def read_raw_days(
     Both columns come from the file path, so a backfill of many days is a single job.
     """
     folders = [day_path(store, day) for store, day in drops]
-    pages = _page_reader(spark, schema, multi_line).json([f"{root.rstrip('/')}/{f}" for f in folders])
-    _require_folders(pages, folders)
+    paths = [f"{root.rstrip('/')}/{f}" for f in folders]
+    _require_folders(spark, paths, folders)
+    schema = schema or listing_schema(spark, paths, multi_line)
+    pages = _page_reader(spark, schema, multi_line).json(paths)
     file = F.col("_metadata.file_path")
     part = [F.regexp_extract(file, _PAGE_PATH, i) for i in range(1, 5)]
     day = F.make_date(*(p.cast("int") for p in part[1:]))
@@ -100,10 +144,9 @@ def landed_stores(spark: SparkSession, root: str, day: str, stores: Iterable[str
     names = list(stores)
     folders = f"{root.rstrip('/')}/" + day_path("{" + ",".join(names) + "}", day)
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(folders).inputFiles()
+        found = _page_folders(spark, folders)
     except AnalysisException:
         return []
-    found = {unquote(name).rsplit("/", 1)[0] for name in files}
     return [s for s in names if any(folder.endswith("/" + day_path(s, day)) for folder in found)]
 
 
@@ -120,7 +163,12 @@ def flatten_nested(df: DataFrame, sep: str = ".") -> DataFrame:
     def quoted(path: tuple[str, ...]) -> str:
         return ".".join("`" + name.replace("`", "``") + "`" for name in path)
 
-    return df.select([F.col(quoted(p)).alias(sep.join(p)) for p in leaves(df.schema, ())])
+    paths = leaves(df.schema, ())
+    names = [sep.join(p) for p in paths]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"columns that flattening would make twice: {twice}")
+    return df.select([F.col(quoted(p)).alias(n) for p, n in zip(paths, names)])
 
 
 def concat_pages(pages: list[DataFrame]) -> DataFrame:
@@ -133,14 +181,14 @@ def concat_pages(pages: list[DataFrame]) -> DataFrame:
 def cluster_by_vendor(df: DataFrame, column: str = "vendor", by: tuple[str, ...] = ()) -> DataFrame:
     """Order rows by vendor, NULLs last, so row groups cover narrow vendor ranges.
 
-    The range partitioning adds a row hash behind the vendor: a vendor holding a third of
-    the rows is spread over many partitions instead of filling one.  ``by`` puts partition
-    columns in front when several days are written at once.
+    Rows are dealt by vendor and one of ``VENDOR_PARTS`` numbers from a row hash: a vendor holding
+    a third of the rows is spread over many partitions instead of filling one, and the input is
+    read once.  ``by`` puts partition columns in front when several days are written at once.
     """
     lead = [F.asc(c) for c in by] + [F.asc_nulls_last(column)]
     hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
-    return df.repartitionByRange(*lead, spread).sortWithinPartitions(*lead)
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(VENDOR_PARTS))
+    return df.repartition(*by, column, part).sortWithinPartitions(*lead)
 
 
 def write_base_parquet(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,17 +60,41 @@ def ensure_table(
     return True
 
 
+def _as_type(value: Column, have: T.DataType, want: T.DataType, path: str) -> Column:
+    """``value`` with the fields of ``want``, matched by name at every depth."""
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        unknown = [f"{path}.{n}" for n in have.names if n not in want.names]
+        if unknown:
+            raise ValueError(f"fields not in the table: {unknown}")
+        fields = [
+            (_as_type(value[f.name], have[f.name].dataType, f.dataType, f"{path}.{f.name}") if f.name in have.names else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in want.fields
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        if have.simpleString() == want.simpleString():
+            return value
+        return F.transform(value, lambda x: _as_type(x, have.elementType, want.elementType, path))
+    return value.cast(want)
+
+
 def align_to_table(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in table order and type: missing ones become NULL, unknown ones raise."""
+    """Columns in table order and type, fields of structs by name at every depth.
+
+    Missing ones become NULL, unknown ones raise.
+    """
     unknown = [c for c in df.columns if c not in schema.names]
     if unknown:
         raise ValueError(f"columns not in the table: {unknown}")
-    return df.select(
-        [
-            (F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+
+    def aligned(f: T.StructField) -> Column:
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        return _as_type(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f.dataType, f.name).cast(f.dataType).alias(f.name)
+
+    return df.select([aligned(f) for f in schema.fields])
 
 
 def append_day(spark: SparkSession, name: str, df: DataFrame) -> int:

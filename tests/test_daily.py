@@ -84,13 +84,46 @@ def test_a_shop_without_pages_does_not_hold_up_the_others(spark, place):
         run(spark, place, "2024-12-31")
 
 
-def test_failing_check_stops_before_the_diff(spark, place):
+def test_failing_shop_stops_alone(spark, place):
     seed_pages(place["raw_root"])
     run(spark, place, "2024-12-09")
     write_page(place["raw_root"], "vsp", "2024-12-10", "2.json", [product(8, variants=[])])
-    with pytest.raises(op.DataQualityError, match="staging.price not_null: 1"):
+    with pytest.raises(op.DataQualityError, match="vsp: stg_vsp__products.price not_null: 1") as error:
         run(spark, place, "2024-12-10")
-    assert spark.table(place["sold"]).count() == 0
+    assert error.value.report.sold == 6 and list(error.value.report.failed) == ["vsp"]
+    assert {r["store"] for r in spark.table(place["sold"]).collect()} == {"rebag", "dct", "treasures"}
+    write_page(place["raw_root"], "vsp", "2024-12-10", "2.json", [product(8)])
+    assert run(spark, place, "2024-12-10").sold == 2
+    assert spark.table("stg_rebag__products").count() == 4
+
+
+def test_bad_rows_of_the_day_before_are_not_appended(spark, place):
+    seed_pages(place["raw_root"])
+    write_page(place["raw_root"], "dct", "2024-12-09", "3.json", [product(9, variants=[])])
+    with pytest.raises(op.DataQualityError, match="dct"):
+        run(spark, place, "2024-12-09")
+    with pytest.raises(op.DataQualityError, match="sold_dct.price"):
+        run(spark, place, "2024-12-10")
+    assert spark.table(place["sold"]).where("store = 'dct'").count() == 0
+    write_page(place["raw_root"], "dct", "2024-12-09", "3.json", [product(9)])
+    run(spark, place, "2024-12-09")
+    assert run(spark, place, "2024-12-10").sold == 3
+
+
+def test_no_sale_without_a_snapshot(spark, place):
+    for day, ids in (("2024-12-09", (1, 2)), ("2024-12-11", (1,))):
+        write_page(place["raw_root"], "dct", day, "1.json", [product(i) for i in ids])
+    write_page(place["raw_root"], "vsp", "2024-12-09", "1.json", [product(1)])
+    write_page(place["raw_root"], "vsp", "2024-12-10", "1.json", [product(5)])
+    drops = [("dct", "2024-12-09"), ("dct", "2024-12-11"), ("vsp", "2024-12-09"), ("vsp", "2024-12-10")]
+    land_days(spark, place["raw_root"], place["base_root"], place["products"], drops, path=place["products_path"])
+    written = rebuild_sold(spark, place["products"], place["sold"], ["2024-12-10", "2024-12-11"], path=place["sold_path"])
+    assert written == {("dct", "2024-12-11"): 0, ("vsp", "2024-12-10"): 1}
+    other = place["sold"] + "_b"
+    path = place["sold_path"] + "_b"
+    assert build_sold(spark, place["products"], other, "2024-12-10", path=path) == 1
+    # Each shop is compared with its own latest snapshot.
+    assert build_sold(spark, place["products"], other, "2024-12-11", previous="last_available", path=path) == 1
 
 
 def test_guard_is_per_store(spark, place):

@@ -64,11 +64,6 @@ def test_box_of_nothing_is_one_row_of_nulls(spark):
     assert op.box_outliers(df, "v").count() == 0
 
 
-def test_approximate_box(spark):
-    df = spark.createDataFrame([(v,) for v in range(101)], "v int")
-    assert tuple(op.box_stats(df, "v", approx=True).first())[1:4] == (25.0, 50.0, 75.0)
-
-
 def test_filter_on_stored_and_prepared_tables_agree(spark):
     df, rows = sold_rows(spark)
     prepared = op.cast_sold_date(op.cast_price_int(df))
@@ -131,7 +126,7 @@ def test_dashboard_equals_separate_reports(spark):
     assert page["row_count"].first()["row_count"] == rows.count()
     assert bag(page["sales_by_weekday"]) == bag(op.sales_by_weekday(rows))
     assert bag(page["sales_per_day"].drop("label")) == bag(op.sales_per_day(rows))
-    assert bag(page["sales_per_day_vendor"]) == bag(op.sales_per_day_vendor(rows))
+    assert bag(page["sales_per_day_vendor"].drop("label")) == bag(op.sales_per_day_vendor(rows))
     assert bag(page["vendor_totals"]) == bag(op.vendor_totals(op.sales_per_day_vendor(rows)))
     assert bag(page["revenue_per_day"].drop("label")) == bag(op.revenue_per_day(rows))
     assert bag(page["products_by_vendor"]) == bag(op.products_by_vendor(rows))
@@ -141,28 +136,25 @@ def test_dashboard_equals_separate_reports(spark):
     page["rollup"].unpersist()
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_category_ranks(spark, limit):
+def test_category_ranks(spark):
     values = ["x"] * 5 + ["y"] * 3 + ["a"] * 3 + ["z"] + [None] * 9
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "product_type string, price int")
-    got = {r["product_type"]: (r["count"], r["rank"]) for r in op.ordered_category(df, "product_type", limit).collect()}
+    got = {r["product_type"]: (r["count"], r["rank"]) for r in op.ordered_category(df, "product_type").collect()}
     assert got == {"x": (5, 1), "a": (3, 2), "y": (3, 3), "z": (1, 4)}
-    points = op.points(df, "product_type", order_by_count=True, limit=limit).collect()
+    points = op.points(df, "product_type", order_by_count=True).collect()
     assert len(points) == 12 and all(r["rank"] == got[r["product_type"]][1] for r in points)
 
 
-def python_label(x):
-    if x >= 1_000_000:
-        return f"${x / 1e6:.1f}M"
-    if x >= 1_000:
-        return f"${x / 1e3:.0f}K"
-    return f"${x:.0f}"
+# (amount, label) by hand: both thresholds, ties to the even digit, doubles just below a tie, negatives.
+LABELS = [
+    (0.0, "$0"), (0.5, "$0"), (1.5, "$2"), (2.5, "$2"), (999.4, "$999"), (999.5, "$1000"), (-3.0, "$-3"),
+    (1000.0, "$1K"), (1499.0, "$1K"), (1500.0, "$2K"), (2500.0, "$2K"), (3500.0, "$4K"), (999499.0, "$999K"),
+    (999500.0, "$1000K"), (1000000.0, "$1.0M"), (1049999.0, "$1.0M"), (1050000.0, "$1.1M"), (1150000.0, "$1.1M"),
+    (1250000.0, "$1.2M"), (1350000.0, "$1.4M"), (2250000.0, "$2.2M"), (12345678901.0, "$12345.7M"), (-1234567.0, "$-1234567"),
+]
 
 
-def test_currency_label_rounds_like_python(spark):
-    values = [0, 0.5, 1.5, 2.5, 999.4, 999.5, 1000, 1500, 2500, 999499, 999500, 1e6, 1049999, 12345678901]
-    values += [50_000 * k for k in range(20, 400)] + [1e6 + 50_000.5 * k for k in range(50)] + [-3.0, -1234567.0]
-    df = spark.createDataFrame([(float(v),) for v in values], "x double")
-    got = df.select("x", fn.currency_label("x").alias("label")).collect()
-    assert {r["x"]: r["label"] for r in got} == {float(v): python_label(float(v)) for v in values}
+def test_currency_labels(spark):
+    df = spark.createDataFrame([(a,) for a, _ in LABELS], "x double")
+    assert {r["x"]: r["label"] for r in df.select("x", fn.currency_label("x").alias("label")).collect()} == dict(LABELS)
     assert spark.createDataFrame([(None,)], "x double").select(fn.currency_label("x")).first()[0] is None

@@ -105,3 +105,13 @@ def test_replace_many_days_at_once(spark, table):
     assert len(counts) == len(drops) and sum(counts.values()) == len(drops) // 2
     assert counts[("vsp", "2024-03-01")] == 0
     assert [r for r in content(spark, table) if r[1] == "vsp"] == [(8, "vsp", "2023-12-31")]
+
+
+def test_nested_fields_are_aligned_by_name(spark):
+    table = spark.createDataFrame([], "id long, variants array<struct<price:string,sku:string>>, seo struct<a:int,b:struct<c:int>>").schema
+    day = spark.sql("SELECT 1L AS id, array(struct('yes' AS sku, '10.00' AS price), NULL) AS variants, struct(struct(3 AS c) AS b) AS seo")
+    row = src.align_to_table(day, table).first()
+    assert (row["variants"][0]["price"], row["variants"][0]["sku"], row["variants"][1]) == ("10.00", "yes", None)
+    assert row["seo"]["a"] is None and row["seo"]["b"]["c"] == 3
+    with pytest.raises(ValueError, match="variants.available"):
+        src.align_to_table(spark.sql("SELECT array(struct(true AS available)) AS variants"), table)
