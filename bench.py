@@ -47,6 +47,8 @@ HEADLINE = (
     "bounds",
     "price_vs_type_points",
     "price_vs_condition_points",
+    "rebuild_sold",
+    "dashboard",
 )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -40,19 +42,26 @@ def build_session(app_name: str = "shelfmark", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_dir() -> str:
+    """A folder of this process, gone when it ends."""
+    folder = tempfile.mkdtemp(prefix="shelfmark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A temporary folder of the machine is used only in local mode with nothing set.
+    A temporary folder of the machine is used only in local mode with nothing set, and removed
+    when the process ends.  What lies in a cluster's folder is left to its expiry rules.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "shelfmark-shared")
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
