@@ -32,7 +32,7 @@ RADIUS = 3
 SAMPLE = 65_536
 # Smallest and largest size of a shard.  In a task the same pruning goes on in memory, so shards are
 # as large as a task does quickly: smaller ones would only shuffle more lent points.
-LEAF, LEAF_MOST = 16_384, 131_072
+LEAF, LEAF_MOST = 32_768, 131_072
 DIRECT = 512  # points compared pairwise
 
 Node = tuple  # ("leaf", number) or (vantage, limit, lend_inner, inner, outer)
