@@ -47,6 +47,7 @@ ENTITY = "|".join(PATTERNS.values())
 # No entity is without one of these; most texts end here.
 QUICK = rf"[0-9@]|(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
 ROUNDS = 40
+GROW = 4  # draws before one may leave the length or prefix of its token
 # Marks around entities; where a text has such characters itself, they are escaped meanwhile.
 OPEN, CLOSE, ESCAPE = "\x01", "\x02", "\x03"
 
@@ -164,9 +165,11 @@ def _phone(token: Column, digest: Column) -> Column:
     return F.concat(head, (F.pmod(_byte(digest, F.lit(0)), F.lit(8)) + 2).cast("string"), rest)
 
 
-def _ip(token: Column, digest: Column) -> Column:
-    """Private and loopback prefixes kept; other octets from 1 to 254."""
-    kept = F.regexp_extract(token, r"^(10\.|127\.|192\.168\.)", 1)
+def _ip(token: Column, digest: Column, attempt: Column) -> Column:
+    """Private and loopback prefixes kept while they have room; other octets from 1 to 254."""
+    own = F.regexp_extract(token, r"^(10\.|127\.|192\.168\.)", 1)
+    wider = F.when(own == "192.168.", "10.").otherwise(own)
+    kept = F.when(attempt < GROW, own).when(attempt < 4 * GROW, wider).otherwise("")
     octets = [(F.pmod(_byte(digest, F.lit(2 * i)) * 256 + _byte(digest, F.lit(2 * i + 1)), F.lit(254)) + 1).cast("string") for i in range(4)]
     count = F.size(F.split(kept, r"\.")) - 1
     return F.concat(kept, F.array_join(F.slice(F.array(*octets), count + 1, 4 - count), "."))
@@ -194,18 +197,21 @@ def _cased(token: Column, drawn: Column) -> Column:
 def surrogate(secret: str, kind: Column, token: Column, attempt: Column) -> Column:
     """The ``attempt``-th draw for a token."""
     digest = F.concat(*[F.sha2(F.concat_ws("|", F.lit(secret), kind, token, attempt.cast("string"), F.lit(part)), 512) for part in ("a", "b")])
+    # A short token has few draws of its own length, so later ones are longer.
+    grown = F.repeat(F.lit("a"), F.greatest(attempt - (GROW - 1), F.lit(0)))
     drawn = (
         F.when(kind == "card", _card(token, digest))
         .when(kind == "phone", _phone(token, digest))
-        .when(kind == "ip", _ip(token, digest))
+        .when(kind == "ip", _ip(token, digest, attempt))
         .when(kind == "key", F.concat(F.lit("AKIA"), F.substring(_same_classes(token, digest), F.lit(5), F.length(token))))
-        .when((kind == "secret") & token.rlike("^[0-9a-f]+$"), _hexadecimal(token, digest))
+        .when((kind == "secret") & token.rlike("^[0-9a-f]+$"), _hexadecimal(F.concat(token, grown), digest))
         .when(
             kind == "domain",
             F.concat(
-                _same_classes(F.regexp_extract(token, r"^(.*)\.", 1), digest), F.lit("."), F.substring_index(token, ".", -1)
+                _same_classes(F.concat(F.regexp_extract(token, r"^(.*)\.", 1), grown), digest), F.lit("."), F.substring_index(token, ".", -1)
             ),
         )
+        .when(kind.isin("local", "secret"), _same_classes(F.concat(token, grown), digest))
     )
     for gender, script in GIVEN:
         drawn = drawn.when(kind == f"given-{gender}-{script}", _cased(token, _given(gender, script, digest, attempt)))

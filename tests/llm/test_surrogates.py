@@ -1,6 +1,7 @@
 import re
 
 from corpus import edges, nothing
+from pyspark.sql import functions as F
 
 from shelfmark.llm import surrogates
 from shelfmark.llm.common import table
@@ -70,3 +71,22 @@ def test_edges(spark):
     out = surrogates.with_surrogates(edges(spark), "k")
     assert sorted(map(str, [r["text"] for r in out.collect()])) == sorted(map(str, [r["text"] for r in edges(spark).collect()]))
     assert surrogates.with_surrogates(nothing(spark), "k").count() == 0
+
+
+def test_short_tokens_do_not_run_out(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    tokens = [("local", c) for c in letters] + [("local", a + b) for a in letters for b in letters]
+    tokens += [("domain", f"{a}{b}.com") for a in letters for b in letters] + [("secret", f"-------{i}") for i in range(10)]
+    found = surrogates.assign(spark.createDataFrame(tokens, "kind string, token string"), "k").collect()
+    drawn = {(r["kind"], r["surrogate"]) for r in found}
+    assert len(drawn) == len(tokens) == len(found) and not drawn & set(tokens)
+    for kept, later in (("192.168.", "10."), ("10.3.", "10.")):
+        draws = [surrogates.surrogate("k", F.lit("ip"), F.lit(f"{kept}1.2"), F.lit(n)) for n in (0, surrogates.GROW)]
+        first, second = spark.range(1).select(*[d.alias(f"d{i}") for i, d in enumerate(draws)]).first()
+        assert first.startswith(kept if kept == "192.168." else later) and second.startswith(later) and second.count(".") == 3
+
+
+def test_each_one_letter_local_part(spark):
+    rows = [(i, f"write to {c}@x.org") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    out = rewritten(spark, rows)
+    assert len(set(out.values())) == 26 and not set(out.values()) & {t for _, t in rows}
