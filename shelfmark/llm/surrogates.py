@@ -34,8 +34,8 @@ SYLLABLES = {
 NAME = r"\p{Lu}[\p{L}'’-]*\p{L}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
-    "email": r"(?<![\w.%+-])[\w.%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
-    "secret": r"(?<=(?:password|passwd|token|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?)(?=[^\s\"']*\d)[A-Za-z0-9+/_-]{8,200}",
+    "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}",
+    "secret": r"(?<=(?i:password|passwd|token|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?)(?=[^\s\"']*\d)[A-Za-z0-9+/_.=-]{8,}(?<!\.)",
     "key": r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)",
     "phone": r"(?<!\d)\+\d{1,3}[ -]?\(?\d{2,4}\)?[ -]?\d{3,4}[ -]?\d{3,4}(?!\d)",
@@ -59,7 +59,7 @@ def kind_of(entity: Column) -> Column:
         .when(first.isin(*MALE), "male")
         .when(first.isin(*FEMALE), "female")
         .when(entity.rlike("^AKIA[A-Z0-9]{16}$"), "key")
-        .when(entity.startswith("+"), "phone")
+        .when(entity.rlike(r"^\+[\d ()-]+$"), "phone")
         .when(entity.rlike(rf"^(?:{OCTET}\.){{3}}{OCTET}$"), "ip")
         .when(entity.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
         .when(entity.rlike(r"^\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}$"), "card")
@@ -128,12 +128,11 @@ def _letter(c: Column, b: Column) -> Column:
 
 
 def _same_classes(token: Column, digest: Column) -> Column:
-    places = F.sequence(F.lit(1), F.length(token))
-    return F.array_join(F.transform(places, lambda i: _letter(F.substring(token, i, F.lit(1)), _byte(digest, i))), "")
+    return F.array_join(F.transform(F.split(token, ""), lambda c, i: _letter(c, _byte(digest, i + 1))), "")
 
 
 def _hexadecimal(token: Column, digest: Column) -> Column:
-    return F.substring(F.concat(digest, digest), F.lit(1), F.length(token))
+    return F.substring(F.repeat(digest, F.ceil(F.length(token) / F.length(digest)).cast("int")), F.lit(1), F.length(token))
 
 
 def luhn_sum(digits: Column) -> Column:

@@ -90,3 +90,20 @@ def test_each_one_letter_local_part(spark):
     rows = [(i, f"write to {c}@x.org") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
     out = rewritten(spark, rows)
     assert len(set(out.values())) == 26 and not set(out.values()) & {t for _, t in rows}
+
+
+def test_long_secrets_and_addresses_go_whole(spark):
+    long = "a1B2" * 75
+    hexadecimal = "0123456789abcdef" * 50
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    local = "anna.maria." * 20 + "k9"
+    texts = [f"token={long} end", f"secret: {hexadecimal}", f"token={jwt}. Next", "API_KEY=Abcd12345678", "Password: hunter2222.", f"to {local}@x.org", "token=+abc12345x"]
+    out = rewritten(spark, list(enumerate(texts)))
+    runs = [long, hexadecimal, jwt, "Abcd12345678", "hunter2222", local, "+abc12345x"]
+    for i, (text, run) in enumerate(zip(texts, runs)):
+        before, after = text.split(run)
+        drawn = out[i][len(before) :][: len(run)]
+        assert out[i].startswith(before) and len(drawn) == len(run)
+        assert out[i][len(before) + len(run) :] == after if "@" not in text else "@x.org" not in out[i]
+        assert not any(run[at : at + 8] == drawn[at : at + 8] for at in range(len(run) - 7))
+    assert re.fullmatch(r"token=[\w-]+\.[\w-]+\.[\w-]+\. Next", out[2])
