@@ -45,7 +45,7 @@ PATTERNS = {
 }
 ENTITY = "|".join(PATTERNS.values())
 # No entity is without one of these; most texts end here.
-QUICK = rf"[0-9@]|(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
+QUICK = rf"[0-9@]|AKIA|(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE)})\.? \p{{Lu}}"
 ROUNDS = 40
 GROW = 4  # draws before one may leave the length or prefix of its token
 # Marks around entities; where a text has such characters itself, they are escaped meanwhile.
