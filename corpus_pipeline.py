@@ -1,7 +1,7 @@
 """A corpus pipeline: each stage works on what the one before it kept.
 
 toxicity       drops documents that a classifier trained on ``labels`` rejects
-near_dedup     keeps one document of each group whose 5-word shingles are similar (Jaccard 0.8)
+near_dedup     keeps one document of each group whose SimHashes of 3-word shingles differ by at most 3 bits
 decontaminate  drops documents in which a passage of ``benchmark`` occurs
 mix            takes documents as often as the target weights of their sources say
 shard          places the rows of the mix in 40 shards of nearly equal bytes
@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import pareto, qgrams, ring, shingles, toxicity
+from shelfmark.llm import pareto, qgrams, ring, toxicity, vptree
 from shelfmark.llm.common import table
 from shelfmark.session import scratch_path
 
@@ -27,7 +27,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return shingles.without_similar(docs, words_per_shingle=5)
+    return vptree.without_near_duplicates(docs, radius=3, words_per_shingle=3)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
