@@ -18,7 +18,7 @@ def test_stages_against_brute_force(spark, sf_dir):
     kept = corpus_pipeline.toxicity_stage(spark, docs, sf_dir)
     assert kept.columns == columns and sorted(tuple(r) for r in kept.collect()) == rows
 
-    label = components([vptree.simhash(r[1], 5) for r in rows], 3)
+    label = components([vptree.simhash(r[1], 3) for r in rows], 3)
     rows = [r for i, r in enumerate(rows) if label[i] == i]
     kept = corpus_pipeline.near_dedup_stage(spark, kept, sf_dir)
     assert kept.columns == columns and sorted(tuple(r) for r in kept.collect()) == rows
