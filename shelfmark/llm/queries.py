@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import hosts, lines, merkle, pareto, qgrams, ring, surrogates, toxicity, vptree, windows
+from shelfmark.llm import hosts, lines, merkle, pareto, phrases, qgrams, ring, surrogates, tokens, toxicity, vptree, whitening, windows
 from shelfmark.llm.common import table
+from shelfmark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +73,22 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrase_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    folder = scratch_path(spark, "tokens")
+    tokens.write_shards(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), spaced=True)
+    return tokens.read_documents(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_qgram_decontamination": op2_qgram_decontamination,
@@ -83,6 +100,9 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash_vptree": op9_simhash_vptree,
     "op10_line_dedup": op10_line_dedup,
+    "op11_lanczos_whitening": op11_lanczos_whitening,
+    "op12_phrase_tries": op12_phrase_tries,
+    "op13_token_shards": op13_token_shards,
 }
 
 ORACLE: dict[str, str] = {"op3_pareto_mix": pareto.SQL, "op7_host_reputation": hosts.SQL}
