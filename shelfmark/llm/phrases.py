@@ -8,7 +8,7 @@
 3. A pass names the phrases that pass the bitmaps: the candidates, a superset of all frequent phrases.
 4. Candidates are numbered in double-array tries of bounded size.  A trie is broadcast; every task
    advances the states of all its text positions together, one word further at each level, and adds up
-   the accepting states by ``bincount``.  Spark sums the counts of the tasks.
+   the accepting states by ``bincount``.  A task's counts are a few packed runs, which Spark sums.
 
 Counts, not hashes, decide: the tries count exactly.  A text is whole in one task, in numpy arrays.
 """
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
@@ -34,7 +35,9 @@ LONGEST = 5
 LEAST = 100
 SLICE = 16 << 20  # bytes of text in numpy arrays together
 BITS = 26  # a bitmap has 2**26 bits (8 MB) whatever the corpus
+HASH_BITS = 40  # of a phrase's hash that are counted
 TRIE_MOST = 400_000  # candidates of a trie, on average
+CHUNK, TASKS = 8192, 64  # counts in a run, and tasks whose runs are added at once
 NO_LANG = "und"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -145,7 +148,8 @@ def _count_hashes(bitmap, length: int, batches: Iterator[pa.RecordBatch]) -> Ite
     for lang, words in _sliced(batches):
         hashes = _word_hashes(lang, words.distinct, seen)[words.codes]
         at = _safe(words, hashes, bitmap.value, length)
-        found, counts = np.unique(phrase_hashes(hashes, length)[at], return_counts=True)
+        own = phrase_hashes(hashes, length)[at] & np.uint64((1 << HASH_BITS) - 1)
+        found, counts = np.unique(own, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["hash", "f"])
 
 
@@ -342,12 +346,39 @@ def count_phrases(trie: Trie, lang: str, words: Words, totals: np.ndarray) -> No
 
 
 def _count_in_trie(trie, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a task as runs of ``CHUNK`` 64-bit numbers; runs of zeros are left out."""
     totals = np.zeros(len(trie.value.phrases), np.int64)
     for lang, words in _sliced(batches):
         count_phrases(trie.value, lang, words, totals)
-    seen = np.flatnonzero(totals)
-    langs, phrases = ([own[i] for i in seen] for own in (trie.value.langs, trie.value.phrases))
-    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(totals[seen])], names=["lang", "phrase", "f"])
+    for chunk in range(-(-len(totals) // CHUNK)):
+        own = totals[chunk * CHUNK : (chunk + 1) * CHUNK]
+        if own.any():
+            columns = [pa.array([chunk], pa.int32()), pa.array([own.astype("<i8").tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "counts"])
+
+
+def _sum_runs(group: pd.DataFrame) -> pd.DataFrame:
+    total = np.sum([np.frombuffer(c, "<i8") for c in group["counts"]], axis=0)
+    return pd.DataFrame({"chunk": group["chunk"].iloc[:1], "part": group["part"].iloc[:1] // TASKS, "counts": [total.astype("<i8").tobytes()]})
+
+
+def _summed(counted: DataFrame, tasks: int) -> DataFrame:
+    """One run per chunk: the runs of ``TASKS`` tasks are added in each round, 4 MB in a group."""
+    runs = counted.select("chunk", F.spark_partition_id().alias("part"), "counts")
+    while tasks > 1:
+        runs = runs.groupBy("chunk", F.floor(F.col("part") / TASKS)).applyInPandas(_sum_runs, "chunk int, part int, counts binary")
+        tasks = -(-tasks // TASKS)
+    return runs.select("chunk", "counts")
+
+
+def _unpacked(trie, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts = np.frombuffer(counts, "<i8")
+            seen = np.flatnonzero(counts)
+            langs, phrases = ([own[chunk * CHUNK + i] for i in seen] for own in (trie.value.langs, trie.value.phrases))
+            columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(counts[seen])]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
 
 
 def phrase_counts(docs: DataFrame, named: DataFrame, trie_most: int = TRIE_MOST) -> DataFrame:
@@ -361,8 +392,9 @@ def phrase_counts(docs: DataFrame, named: DataFrame, trie_most: int = TRIE_MOST)
     for number in range(tries):
         own = named.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(tries)) == number)
         trie = spark.sparkContext.broadcast(build_trie([(r["lang"], r["phrase"]) for r in own.select("lang", "phrase").collect()]))
-        counted = rows.mapInArrow(per_batch(_count_in_trie, trie), COUNTED)
-        counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).write.mode("append").parquet(path)
+        counted = rows.mapInArrow(per_batch(_count_in_trie, trie), "chunk int, counts binary")
+        summed = _summed(counted, rows.rdd.getNumPartitions())
+        summed.mapInArrow(per_batch(_unpacked, trie), COUNTED).write.mode("append").parquet(path)
         trie.unpersist()
     return spark.read.schema(COUNTED).parquet(path)
 
