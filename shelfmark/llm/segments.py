@@ -53,17 +53,22 @@ def cut_words(texts: list[bytes], kinds: np.ndarray, lower: bool = False) -> Wor
         data = LOWER[data]
     kind = kinds[data]
     inside = kind == 0
-    padded = np.zeros(len(data) + 2, np.int8)
-    padded[1:-1] = inside
-    edges = np.flatnonzero(np.diff(padded))
-    starts, ends = edges[::2], edges[1::2]
-    offsets = np.zeros(len(starts) + 1, np.int32)
-    np.cumsum(ends - starts, out=offsets[1:])
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data[inside].tobytes())]
-    encoded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-    pieces = np.cumsum(kind == 2, dtype=np.int32)[starts]
-    codes = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    return Words(codes, encoded.dictionary.to_pylist(), pieces, starts)
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(first)
+    codes, distinct = numbered(data, inside, first)
+    return Words(codes, distinct, np.cumsum(kind == 2, dtype=np.int32)[starts], starts)
+
+
+def numbered(data: np.ndarray, inside: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(number of each word, different words): words are the runs of ``inside`` bytes that begin at ``first``."""
+    kept = data[inside]
+    offsets = np.append(np.flatnonzero(first[inside]), len(kept)).astype(np.int32)
+    if not len(kept):
+        return np.empty(0, np.int64), []
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+    encoded = words.dictionary_encode()
+    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary.to_pylist()
 
 
 def text_numbers(texts: list[bytes], starts: np.ndarray) -> np.ndarray:

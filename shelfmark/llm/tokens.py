@@ -2,9 +2,10 @@
 
 A shard file holds the documents of one doc_id range in ascending order:
 
-    header   8 bytes ``TOKSHRD1``, then 8 little-endian 64-bit numbers: documents, ids, distinct keys,
-             hash levels, words of all levels, leftover keys, shard part, shard piece
-    ids      little-endian unsigned 32-bit ids of all documents, end ids included, nothing between
+    header   8 bytes ``TOKSHRD1``, then 9 little-endian 64-bit numbers: documents, ids, distinct keys,
+             hash levels, words of all levels, leftover keys, shard part, shard piece, bytes per id
+    ids      little-endian unsigned ids of all documents, end ids included, nothing between; 2 bytes
+             each if the vocabulary allows it, else 4
     ends     per document: number of ids up to its end (int64)
     keys     per document: doc_id (int64) and a byte that is 1 for a null doc_id
     levels   bits of each hash level (int64 sizes), then the bit arrays as 64-bit words
@@ -24,6 +25,7 @@ renamed, with the same bytes on every attempt, so a repeated or a speculative ta
 from __future__ import annotations
 
 import os
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -36,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import per_batch, text_of
-from shelfmark.llm.segments import classes, cut_words, slices, text_numbers
+from shelfmark.llm.segments import JOINT, LOWER, numbered, slices, text_numbers
 
 MAGIC = b"TOKSHRD1"
 END_ID = 2
@@ -45,7 +47,6 @@ PART_BYTES = 64 << 20  # texts dealt to one task
 LEVELS = 48
 REMEMBERED = 1 << 20  # distinct words whose ids a task keeps
 SLICE = 4 << 20  # bytes of text tokenized together
-ASCII_SPACE = classes(b" \t\x0b\x0c\r", b"\n")
 NULL_KEY = 0  # stored for a null doc_id; the byte beside it tells it from a real 0
 ROUTED = 65_536  # shard files whose doc_id ranges are broadcast at once
 
@@ -120,8 +121,8 @@ def stored_fingerprints(keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- shard files
 
 
-def shard_bytes(ids: list[np.ndarray], keys: list[int | None], part: int, piece: int) -> bytes:
-    """A whole shard file of documents in ascending order of their keys, nulls first."""
+def shard_bytes(ids: list[np.ndarray], keys: list[int | None], part: int, piece: int, width: int = 4) -> bytes:
+    """A whole shard file of documents in ascending order of their keys, with ids of ``width`` bytes."""
     nulls = np.array([k is None for k in keys], bool)
     numbers = np.array([NULL_KEY if k is None else k for k in keys], np.int64)
     ends = np.cumsum([len(i) for i in ids], dtype=np.int64)
@@ -137,12 +138,12 @@ def shard_bytes(ids: list[np.ndarray], keys: list[int | None], part: int, piece:
     slots = [np.empty(len(firsts), t) for t in ("<u4", "<i8", "<i8")]
     for slot, values in zip(slots, (stored_fingerprints(distinct), firsts, counts)):
         slot[place] = values
-    head = [len(keys), int(ends[-1]) if len(ends) else 0, len(firsts), len(index.sizes), len(index.words), len(index.leftover), part, piece]
+    head = [len(keys), int(ends[-1]) if len(ends) else 0, len(firsts), len(index.sizes), len(index.words), len(index.leftover), part, piece, width]
     return b"".join(
         [
             MAGIC,
             np.array(head, "<i8").tobytes(),
-            *(i.astype("<u4").tobytes() for i in ids),
+            *(i.astype(f"<u{width}").tobytes() for i in ids),
             ends.astype("<i8").tobytes(),
             numbers.astype("<i8").tobytes(),
             nulls.astype(np.uint8).tobytes(),
@@ -160,8 +161,8 @@ class Shard:
     def __init__(self, data: bytes):
         if data[:8] != MAGIC:
             raise ValueError("not a token shard")
-        documents, ids, distinct, levels, words, leftover, self.part, self.piece = np.frombuffer(data, "<i8", 8, 8).tolist()
-        at = 72
+        documents, ids, distinct, levels, words, leftover, self.part, self.piece, width = np.frombuffer(data, "<i8", 9, 8).tolist()
+        at = 80
 
         def take(kind: str, count: int) -> np.ndarray:
             nonlocal at
@@ -169,7 +170,7 @@ class Shard:
             at += found.nbytes
             return found
 
-        self.ids = take("<u4", ids)
+        self.ids = take(f"<u{width}", ids)
         self.ends = take("<i8", documents)
         self.keys, self.nulls = take("<i8", documents), take("u1", documents).astype(bool)
         sizes, bits = take("<i8", levels), take("<u8", words)
@@ -194,49 +195,101 @@ class Shard:
 # ---------------------------------------------------------------- tokenizing
 
 
+# Classes of bytes: white space, letters, digits, apostrophe, other ASCII, parts of longer characters.
+SPACE, LETTER, DIGIT, APOSTROPHE, MARK, HIGH = range(6)
+CLASS = np.full(256, MARK, np.uint8)
+CLASS[128:] = HIGH
+CLASS[[*range(65, 91), *range(97, 123)]] = LETTER
+CLASS[48:58] = DIGIT
+CLASS[39] = APOSTROPHE
+CLASS[[9, 10, 11, 12, 13, 32]] = SPACE
+# Where a text may be cut between two ASCII characters: CUT[6 * class before + class after].
+CUT = np.zeros(36, bool)
+for _before, _after in (
+    (LETTER, DIGIT), (LETTER, APOSTROPHE), (LETTER, MARK), (DIGIT, LETTER), (DIGIT, DIGIT), (DIGIT, APOSTROPHE),
+    (DIGIT, MARK), (APOSTROPHE, DIGIT), (MARK, LETTER), (MARK, DIGIT),
+):
+    CUT[6 * _before + _after] = True
+
+
 class Encoder:
     """Ids of whole texts, each with an end id.
 
-    ``spaced`` says that no token of the tokenizer spans or depends on ASCII white space, so that a
-    text's ids are those of its runs between white space; each different run is then encoded once
-    and remembered.  Otherwise whole texts go to the tokenizer.
+    With ``spaced``, different pieces of the texts are encoded once each and remembered.  It is for
+    tokenizers that drop white space, ignore case, and split into runs of letters, single digits, runs
+    of other characters, and an apostrophe with the ending after it.  Their texts may be cut at ASCII
+    white space and between ASCII characters as ``CUT`` says: no token spans such a place, and Unicode
+    normalisation joins nothing across it.  Pieces are lower-cased in A-Z.  A run of texts that holds a
+    special token's text goes to the tokenizer as it is, and so do all without ``spaced``.
     """
 
     def __init__(self, definition: str, spaced: bool, end_id: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task per core already
         from tokenizers import Tokenizer
 
+        self.made_of = (definition, spaced, end_id)
         self.tokenizer = Tokenizer.from_str(definition)
-        self.spaced, self.end = spaced, np.array([end_id], np.uint32)
-        self.known: dict[bytes, np.ndarray] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        most = max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1, *added, 1)
+        self.width = 2 if most < 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        self.special = [t.content.encode().lower() for t in added.values()]
+        self.spaced, self.end = spaced, np.array([end_id], self.kind)
+        self.known: dict[bytes, bytes] = {}
+
+    def __reduce__(self):
+        # A broadcast encoder is made once per Python worker, whose tasks then share what it remembers.
+        return type(self), self.made_of
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(f.ids, np.uint32) for f in found]
+        return [np.array(f.ids, self.kind) for f in found]
+
+    def _remember(self, pieces: list[bytes]) -> None:
+        """Runs of a-z are what the model gets of them anyway, so they are spared the steps before it."""
+        model, pack = self.tokenizer.model, {2: "H", 4: "I"}[self.width]
+        other = []
+        for piece in pieces:
+            if piece.isalpha():  # of bytes: ASCII letters, and these are lower case here
+                found = model.tokenize(piece.decode())
+                self.known[piece] = struct.pack(f"<{len(found)}{pack}", *[t.id for t in found])
+            else:
+                other.append(piece)
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            self.known.update(zip(some, (i.tobytes() for i in self._plain([w.decode("utf-8", "surrogatepass") for w in some]))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.spaced:
-            return [np.concatenate((i, self.end)) for i in self._plain(texts)]
-        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-        words = cut_words(raw, ASCII_SPACE)
-        fresh = [w for w in words.distinct if w not in self.known]
+        if self.spaced:
+            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+            joined = LOWER[np.frombuffer(JOINT.join(raw), np.uint8)]
+            held = joined.tobytes()
+            if not any(t in held for t in self.special):
+                return self._by_pieces(raw, joined)
+        return [np.concatenate((i, self.end)) for i in self._plain(texts)]
+
+    def _by_pieces(self, raw: list[bytes], joined: np.ndarray) -> list[np.ndarray]:
+        kind = CLASS[joined]
+        inside = kind != SPACE
+        first = inside.copy()
+        first[1:] &= ~inside[:-1] | CUT[6 * kind[:-1] + kind[1:]]
+        codes, distinct = numbered(joined, inside, first)
+        fresh = [w for w in distinct if w not in self.known]
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known.clear()
-            fresh = words.distinct
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            self.known.update(zip(some, self._plain([w.decode("utf-8", "surrogatepass") for w in some])))
-        runs = [self.known[w] for w in words.distinct]
-        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
-        firsts = np.concatenate(([0], np.cumsum(lengths)))[:-1] if len(runs) else np.empty(0, np.int64)
-        pool = np.concatenate(runs) if runs else np.empty(0, np.uint32)
-        per_word = lengths[words.codes]
-        ends = np.cumsum(per_word)
+            fresh = distinct
+        self._remember(fresh)
+        runs = [self.known[w] for w in distinct]
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // self.width
+        firsts = np.cumsum(lengths) - lengths
+        pool = np.frombuffer(b"".join(runs), self.kind)
+        per_piece = lengths[codes]
+        ends = np.cumsum(per_piece)
         total = int(ends[-1]) if len(ends) else 0
-        ids = pool[np.repeat(firsts[words.codes] - (ends - per_word), per_word) + np.arange(total)]
-        of_text = np.bincount(text_numbers(raw, words.starts), per_word, len(raw)).astype(np.int64)
+        ids = pool[np.repeat(firsts[codes] - (ends - per_piece), per_piece) + np.arange(total)]
+        of_text = np.bincount(text_numbers(raw, np.flatnonzero(first)), per_piece, len(raw)).astype(np.int64)
         bounds = np.cumsum(of_text)
-        return [np.concatenate((ids[b - n : b], self.end)) for b, n in zip(bounds, of_text)]
+        return [np.concatenate((ids[b - n : b], self.end)) for b, n in zip(bounds.tolist(), of_text.tolist())]
 
 
 # ---------------------------------------------------------------- writing
@@ -261,16 +314,16 @@ def _store(store: fs.FileSystem, path: str, data: bytes) -> None:
 MANIFEST = "part int, piece int, file string, n_docs long, n_ids long, least long, most long, has_null boolean"
 
 
-def _written(folder: str, definition, spaced: bool, end_id: int, shard_ids: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _written(folder: str, shared, shard_ids: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come in order within a part; one manifest row per shard file goes out."""
-    encoder = Encoder(definition.value, spaced, end_id)
+    encoder = shared.value
     store, root = filesystem(folder)
     part, piece, held, ids, keys = None, 0, 0, [], []
 
     def close() -> pa.RecordBatch:
         nonlocal piece, held, ids, keys
         name = f"ids-{part:08d}-{piece:06d}.tok"
-        _store(store, f"{root}/{name}", shard_bytes(ids, keys, part, piece))
+        _store(store, f"{root}/{name}", shard_bytes(ids, keys, part, piece, encoder.width))
         known = [k for k in keys if k is not None]
         row = (part, piece, name, len(keys), held, known[0] if known else None, known[-1] if known else None, keys[0] is None)
         kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
@@ -313,7 +366,7 @@ def write_shards(
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
-        definition = spark.sparkContext.broadcast(file.read())
+        encoder = spark.sparkContext.broadcast(Encoder(file.read(), spaced, end_id))
     store, root = filesystem(folder)
     store.create_dir(f"{root}/shards", recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
@@ -323,7 +376,7 @@ def write_shards(
     order = ["doc_id", "tie", "number"]
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     dealt = dealt.select(F.spark_partition_id().alias("part"), "doc_id", "text")
-    write = per_batch(_written, f"{folder}/shards", definition, spaced, end_id, shard_ids)
+    write = per_batch(_written, f"{folder}/shards", encoder, shard_ids)
     dealt.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -343,7 +396,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if ((row < first) | (row >= first + count)).any():
                 raise ValueError(f"the index of {path} misses a document")
             begins = np.concatenate(([0], shard.ends))[:-1]
-            raw = shard.ids.view(np.uint8)
+            raw = shard.ids.astype("<u4").view(np.uint8)
             sums = [zlib.crc32(raw[4 * b : 4 * e]) for b, e in zip(begins, shard.ends)]
             columns = [
                 pa.array([os.path.basename(path)] * len(row)),
