@@ -37,7 +37,9 @@ SLICE = 16 << 20  # bytes of text in numpy arrays together
 BITS = 26  # a bitmap has 2**26 bits (8 MB) whatever the corpus
 HASH_BITS = 40  # of a phrase's hash that are counted
 TRIE_MOST = 400_000  # candidates of a trie, on average
-CHUNK, TASKS = 8192, 64  # counts in a run, and tasks whose runs are added at once
+CHUNK, TASKS = 8192, 64  # counts in a run, and tasks whose runs or lists are put together at once
+NAMES = 4096  # phrases in a list, on average
+TAG = "\t"  # between phrase and lang; no phrase has one
 NO_LANG = "und"
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -153,8 +155,8 @@ def _count_hashes(bitmap, length: int, batches: Iterator[pa.RecordBatch]) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["hash", "f"])
 
 
-def _name(bitmaps, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The different phrases of a slice that pass the bitmaps of their level."""
+def _name(bitmaps, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different phrases of a slice that pass the bitmaps of their level, a list per bucket."""
     seen: dict = {}
     for lang, words in _sliced(batches):
         hashes = _word_hashes(lang, words.distinct, seen)[words.codes]
@@ -166,9 +168,34 @@ def _name(bitmaps, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for i in range(1, length):  # numbers of different phrases, one word longer each time
                 _, keys = np.unique(keys * len(words.distinct) + words.codes[at + i], return_inverse=True)
             _, first = np.unique(keys, return_index=True)
-            phrases = _phrases(words, at[first], length)
-            columns = [pa.array([lang] * len(phrases), pa.string()), phrases, pa.array(np.full(len(phrases), length, np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "words"])
+            at = at[first]
+            bucket = ((own[at] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            bucket = bucket[order]
+            tagged = pa.compute.binary_join_element_wise(_phrases(words, at[order], length), pa.scalar(lang), pa.scalar(TAG))
+            starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            offsets = pa.array(np.append(starts, len(bucket)).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, tagged)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[starts]), lists], names=["bucket", "phrases"])
+
+
+def _unite(group: pd.DataFrame) -> pd.DataFrame:
+    phrases = sorted(set().union(*group["phrases"]))
+    return pd.DataFrame({"bucket": group["bucket"].iloc[:1], "part": group["part"].iloc[:1] // TASKS, "phrases": [phrases]})
+
+
+def _named(rows: DataFrame, bitmaps, buckets: int) -> DataFrame:
+    """(lang, phrase) of every phrase that passes, once: the lists of ``TASKS`` tasks unite in each round."""
+    lists = rows.mapInArrow(per_batch(_name, bitmaps, buckets), "bucket int, phrases array<string>")
+    lists = lists.select("bucket", F.spark_partition_id().alias("part"), "phrases")
+    tasks = rows.rdd.getNumPartitions()
+    while True:
+        lists = lists.groupBy("bucket", F.floor(F.col("part") / TASKS)).applyInPandas(_unite, "bucket int, part int, phrases array<string>")
+        if tasks <= TASKS:
+            break
+        tasks = -(-tasks // TASKS)
+    parts = F.split(F.col("tagged"), TAG, 2)
+    return lists.select(F.explode("phrases").alias("tagged")).select(parts[1].alias("lang"), parts[0].alias("phrase"))
 
 
 def _hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +221,7 @@ def bitmap_of(hashes: DataFrame) -> np.ndarray | None:
 
 
 def candidates(docs: DataFrame, words: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, words): every phrase of 2 to ``longest`` words that can reach ``least`` occurrences."""
+    """(lang, phrase): every phrase of 2 to ``longest`` words that can reach ``least`` occurrences."""
     spark, rows = docs.sparkSession, _rows(docs)
     frequent = words.where("phrase IS NOT NULL").select("lang", "phrase")
     bitmap = bitmap_of(frequent.mapInArrow(_hash_words, "hash long"))
@@ -208,8 +235,8 @@ def candidates(docs: DataFrame, words: DataFrame, least: int = LEAST, longest: i
         below.unpersist()
         if bitmap is not None:
             bitmaps[length] = bitmap
-    named = rows.mapInArrow(per_batch(_name, spark.sparkContext.broadcast(bitmaps)), "lang string, phrase string, words int")
-    return cut(named.distinct())
+    passing = sum(int(np.bitwise_count(b).sum(dtype=np.int64)) for b in bitmaps.values())
+    return cut(_named(rows, spark.sparkContext.broadcast(bitmaps), 1 + passing // NAMES))
 
 
 # ---------------------------------------------------------------- tries
