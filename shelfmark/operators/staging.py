@@ -13,8 +13,17 @@ from shelfmark.stores import StoreSpec
 
 
 def row_hash(df: DataFrame) -> Column:
-    """Stable hash of a whole row, the last resort between otherwise equal rows."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    """Stable hash of a whole row, the last resort between otherwise equal rows.
+
+    A VARIANT counts as its JSON text.  NULL columns leave the hash as it is, so columns that are
+    added later do not change the order of old rows.
+    """
+
+    def hashed(f: T.StructField) -> Column:
+        column = F.col(f"`{f.name}`")
+        return F.to_json(column) if isinstance(f.dataType, T.VariantType) else column
+
+    return F.xxhash64(*[hashed(f) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
 def latest_by_id(

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from shelfmark.operators.sold import (
 from shelfmark.operators.staging import enrich_stores, latest_by_id, stage
 from shelfmark.schemas import (
     MART_COLUMNS,
+    PRODUCT,
     SNAPSHOT_PARTITIONS,
     SOLD_COLUMNS,
     SOLD_EXT_COLUMNS,
@@ -33,12 +34,14 @@ from shelfmark.schemas import (
 from shelfmark.session import ensure_checkpoint_dir
 from shelfmark.sources.landing import (
     cluster_by_vendor,
-    flatten_nested,
+    day_path,
     landed_stores,
+    purge_base_day,
     read_base_days,
-    read_raw_days,
+    require_folders,
     write_base_parquet,
 )
+from shelfmark.sources.pages import bad_pages, explode_listings, parse_pages, quarantine, release, scan_pages
 from shelfmark.sources.tables import append_day, ensure_table, materialize_view, replace_days, store_view
 from shelfmark.stores import STORES, StoreSpec
 
@@ -54,6 +57,11 @@ class DayReport:
     failed: dict[str, list[str]] = field(default_factory=dict)
 
 
+def quarantine_root(base_root: str) -> str:
+    """Where the bad pages of a landing area are put aside."""
+    return base_root.rstrip("/") + "_quarantine"
+
+
 def land_days(
     spark: SparkSession,
     raw_root: str,
@@ -63,18 +71,74 @@ def land_days(
     schema: T.StructType | None = None,
     multi_line: bool = True,
     path: str | None = None,
+    failed: dict[tuple[str, str], list[str]] | None = None,
+    glob: str = "*.json",
+    buckets: int | None = None,
 ) -> dict[tuple[str, str], int]:
     """Raw pages to base snapshots to the ``products`` table, for any number of drops.
 
-    Repeating a drop replaces it in both places.  Returns rows landed per drop.  All fields of the
-    listings are kept unless a ``schema`` names fewer.
+    Repeating a drop replaces it in both places.  Returns rows landed per drop.  The pages are read
+    once: columns of ``schema`` (by default those later stages rely on) are typed, and all other fields
+    of a listing are kept in a VARIANT column, whatever fields a day brings.
+
+    A drop with a bad page does not land, since listings on the page would seem sold: its base
+    snapshot is emptied, ``products`` keeps what it had, and the bad pages go to ``quarantine_root``.
+    All other drops land.  Failing drops are entered in ``failed`` with their reasons; without such a
+    dictionary they raise ``BadPagesError`` once the others have landed.
     """
     drops = list(drops)
-    rows = flatten_nested(read_raw_days(spark, raw_root, drops, schema, multi_line))
-    write_base_parquet(rows, base_root)
-    base = read_base_days(spark, base_root, drops)
-    ensure_table(spark, products, base, SNAPSHOT_PARTITIONS, path)
-    return replace_days(spark, products, cluster_by_vendor(base, by=tuple(SNAPSHOT_PARTITIONS)), drops)
+    folders = [day_path(store, day) for store, day in drops]
+    paths = [f"{raw_root.rstrip('/')}/{f}" for f in folders]
+    require_folders(spark, paths, folders, glob)
+    parsed = parse_pages(scan_pages(spark, paths, multi_line, glob))
+    key = F.concat_ws("/", *SNAPSHOT_PARTITIONS)
+    seen = Observation()
+    some = F.col("reason").isNull() & (F.size("listings") > 0)
+    parsed = parsed.observe(
+        seen,
+        F.collect_set(F.when(F.col("reason").isNotNull(), key)).alias("bad"),
+        F.collect_set(F.when(some, key)).alias("filled"),
+    )
+    write_base_parquet(explode_listings(parsed, schema or PRODUCT), base_root)
+    bad, filled = set(seen.get["bad"]), set(seen.get["filled"])
+
+    broken = [d for d in drops if "/".join(d) in bad]
+    for store, day in drops:
+        if (store, day) in broken or f"{store}/{day}" not in filled:
+            purge_base_day(spark, base_root, store, day)
+    aside = quarantine_root(base_root)
+    reasons: dict[tuple[str, str], list[str]] = {}
+    if broken:
+        own = [f"{raw_root.rstrip('/')}/{day_path(store, day)}" for store, day in broken]
+        found = bad_pages(spark, own, multi_line, glob)
+        quarantine(found, aside)
+        for r in found.groupBy(*SNAPSHOT_PARTITIONS, "reason").agg(F.count(F.lit(1)).alias("n")).orderBy("reason").collect():
+            reasons.setdefault((r["store"], r["ingestion_date"]), []).append(f"{r['n']} bad pages: {r['reason']}")
+    good = [d for d in drops if d not in broken]
+    release(spark, aside, good)
+
+    landed: dict[tuple[str, str], int] = {}
+    if good:
+        whole = [d for d in good if "/".join(d) in filled]
+        if whole:
+            base = read_base_days(spark, base_root, whole)
+        else:
+            base = explode_listings(parsed, schema or PRODUCT).limit(0)
+        ensure_table(spark, products, base, SNAPSHOT_PARTITIONS, path, buckets)
+        landed = replace_days(spark, products, cluster_by_vendor(base, by=tuple(SNAPSHOT_PARTITIONS)), good, on_unknown="add")
+    if failed is not None:
+        failed |= reasons
+    elif reasons:
+        raise BadPagesError(reasons, landed)
+    return landed
+
+
+class BadPagesError(ValueError):
+    """Drops that could not be read; the others have landed."""
+
+    def __init__(self, failed: dict[tuple[str, str], list[str]], landed: dict[tuple[str, str], int]):
+        super().__init__("; ".join(f"{store} {day}: {', '.join(why)}" for (store, day), why in sorted(failed.items())))
+        self.failed, self.landed = failed, landed
 
 
 def staged_day(
@@ -225,8 +289,10 @@ def run_day(
 ) -> DayReport:
     """One scheduled day for every shop that had started by then.  Safe to repeat.
 
-    A shop that fails a check stops there, before anything is built on its bad rows, and the
-    other shops go on; at the end the failing ones are named in an error that carries the report.
+    A shop with a page that cannot be read lands nothing that day, and its bad pages are put aside
+    (see ``land_days``); a shop that fails a check stops there, before anything is built on its bad
+    rows.  The other shops go on; at the end the failing ones are named in an error that carries the
+    report.
     Shops without pages that day are left out and named in the report.  Both can be run later,
     since the append guard is per shop.
     """
@@ -240,8 +306,11 @@ def run_day(
     if not active:
         raise FileNotFoundError(f"no JSON pages of any shop for {day}")
     drops = [(s.name, day) for s in active]
-    report.landed = land_days(spark, raw_root, base_root, products, drops, schema, path=products_path)
-    if check:
+    unread: dict[tuple[str, str], list[str]] = {}
+    report.landed = land_days(spark, raw_root, base_root, products, drops, schema, path=products_path, failed=unread)
+    report.failed |= {store: why for (store, _), why in unread.items()}
+    active = [s for s in active if s.name not in report.failed]
+    if check and active:
         history = spark.table(products)
         # Ids are unique within a shop only.  Each shop's check reads its own partition.
         checks = {
@@ -259,7 +328,8 @@ def run_day(
         sold_failures: dict[str, list[str]] | None = {} if check else None
         report.sold = build_sold(spark, products, sold, day, active, as_of=as_of, path=sold_path, failed=sold_failures)
         report.failed |= sold_failures or {}
-    publish_staging(spark, products, stores, as_of)
+    if spark.catalog.tableExists(products):
+        publish_staging(spark, products, stores, as_of)
     if spark.catalog.tableExists(sold):
         publish_views(spark, sold, stores)
     if report.failed:

@@ -27,6 +27,9 @@ def page_schema(product: T.StructType = PRODUCT) -> T.StructType:
     return T.StructType([T.StructField("products", T.ArrayType(product))])
 
 
+# The VARIANT column that holds every field without a column of its own.
+OTHER = "other"
+
 SNAPSHOT_PARTITIONS = ["store", "ingestion_date"]
 SOLD_PARTITIONS = ["store", "sold_date"]
 

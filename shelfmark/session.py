@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # Rows bucketed by (id) are in place for a join on (store, id).
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # HotSpot leaves methods over 8000 bytes uncompiled; wide enrichments then run faster
     # as several smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",

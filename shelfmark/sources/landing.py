@@ -49,16 +49,16 @@ def _listings(pages: DataFrame, *keep: Column) -> DataFrame:
     return pages.select(*keep, F.inline(products))
 
 
-def _page_folders(spark: SparkSession, paths: str | list[str]) -> set[str]:
+def _page_folders(spark: SparkSession, paths: str | list[str], glob: str = "*.json") -> set[str]:
     """Folders that hold pages: a job over the file names, of which one row per folder is fetched."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(paths)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
     folder = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
     return {unquote(r["folder"]) for r in files.select(folder.alias("folder")).distinct().collect()}
 
 
-def _require_folders(spark: SparkSession, paths: str | list[str], folders: list[str]) -> None:
+def require_folders(spark: SparkSession, paths: str | list[str], folders: list[str], glob: str = "*.json") -> None:
     """Raise unless every folder (the end of a path) holds a page."""
-    found = _page_folders(spark, paths)
+    found = _page_folders(spark, paths, glob)
     missing = [f for f in folders if not any(name.endswith("/" + f) for name in found)]
     if missing or not found:
         raise FileNotFoundError(f"no JSON pages in {missing or 'the given path'}")
@@ -110,7 +110,7 @@ def read_raw_json(
     ``unread_fields`` lists.  ``multi_line=False`` reads one page per line, which lets Spark
     split large files.  Malformed pages fail the job and a folder without pages raises.
     """
-    _require_folders(spark, path, [])
+    require_folders(spark, path, [])
     schema = schema or listing_schema(spark, path, multi_line)
     return _listings(_page_reader(spark, schema, multi_line).json(path))
 
@@ -128,7 +128,7 @@ def read_raw_days(
     """
     folders = [day_path(store, day) for store, day in drops]
     paths = [f"{root.rstrip('/')}/{f}" for f in folders]
-    _require_folders(spark, paths, folders)
+    require_folders(spark, paths, folders)
     schema = schema or listing_schema(spark, paths, multi_line)
     pages = _page_reader(spark, schema, multi_line).json(paths)
     file = F.col("_metadata.file_path")
@@ -186,7 +186,7 @@ def cluster_by_vendor(df: DataFrame, column: str = "vendor", by: tuple[str, ...]
     read once.  ``by`` puts partition columns in front when several days are written at once.
     """
     lead = [F.asc(c) for c in by] + [F.asc_nulls_last(column)]
-    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(VENDOR_PARTS))
     return df.repartition(*by, column, part).sortWithinPartitions(*lead)
 
