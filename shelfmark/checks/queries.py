@@ -324,6 +324,208 @@ def materialize_incremental(spark, sf_dir):
     return spark.table(name)
 
 
+# Pages by drop, some of them bad, with fields that only some listings have
+
+_PAGE_SIZE = 50
+_PAGED_SQL = (
+    f"paged AS (SELECT *, event_id // {_PAGE_SIZE} AS page FROM listings)",
+    "graded AS (SELECT *, CASE WHEN page % 7 = 3 THEN 'not JSON' WHEN page % 11 = 5 THEN 'no list of products' END AS reason FROM paged)",
+)
+
+
+def _drop_pages(spark: SparkSession, sf_dir: str) -> str:
+    """Write every drop as pages, one per line, in folders named key=value; returns the folder.
+
+    Every seventh page is cut off, every eleventh has no listings; fields vary from listing to listing.
+    """
+    rows = listings(spark, sf_dir)
+    even, third = F.col("event_id") % 2 == 0, F.col("event_id") % 3 == 0
+    price = F.get("variants", F.lit(0))["price"].alias("price")
+    product = F.struct(
+        *[c for c in rows.columns if c not in ("event_id", "store", "ingestion_date", "variants")],
+        F.array(F.struct(price, F.when(third, F.col("handle")).alias("sku"))).alias("variants"),
+        F.struct(F.struct(F.when(even, F.col("handle")).alias("handle")).alias("slug")).alias("seo"),
+        F.when(third, F.col("id")).alias("stock"),
+    )
+    page = F.floor(F.col("event_id") / _PAGE_SIZE)
+    text = F.to_json(F.struct(F.collect_list(product).alias("products")))
+    pages = rows.groupBy("store", "ingestion_date", page.alias("page")).agg(text.alias("whole"))
+    cut = F.expr("left(whole, length(whole) - 9)")
+    value = F.when(F.col("page") % 7 == 3, cut).when(F.col("page") % 11 == 5, F.lit('{"items": []}')).otherwise(F.col("whole"))
+    day = F.to_date("ingestion_date")
+    path = scratch_path(spark, "drops")
+    folders = {"year": F.year(day), "month": F.month(day), "day": F.dayofmonth(day)}
+    pages.select(value.alias("value"), "store", *[c.alias(n) for n, c in folders.items()]).write.partitionBy("store", *folders).text(path)
+    return f"{path}/*/*/*/*"
+
+
+@query(
+    "read_pages",
+    o.with_(
+        o.LISTINGS,
+        *_PAGED_SQL,
+        select="SELECT store, ingestion_date, id, title, handle, vendor, product_type, published_at, updated_at, first_price, "
+        "CASE WHEN event_id % 2 = 0 THEN handle END AS slug, CASE WHEN event_id % 3 = 0 THEN handle END AS sku, "
+        "CASE WHEN event_id % 3 = 0 THEN id END AS stock FROM graded WHERE reason IS NULL",
+    ),
+)
+def read_pages(spark, sf_dir):
+    """One scan: typed columns, and fields of some listings out of the VARIANT."""
+    rows = src.read_pages(spark, _drop_pages(spark, sf_dir), multi_line=False, glob="*.txt")
+    rows = src.lift_fields(rows, [("seo.slug.handle", "string"), ("stock", "bigint")])
+    first = F.get("variants", F.lit(0))["price"].alias("first_price")
+    sku = F.try_variant_get("other", "$.variants[0].sku", "string").alias("sku")
+    return rows.select(
+        "store", "ingestion_date", "id", "title", "handle", "vendor", "product_type", "published_at", "updated_at", first,
+        F.col("`seo.slug.handle`").alias("slug"), sku, "stock",
+    )
+
+
+@query(
+    "quarantine_counts",
+    o.with_(
+        o.LISTINGS,
+        *_PAGED_SQL,
+        select="SELECT store, ingestion_date, count(DISTINCT page) AS pages, count(DISTINCT page) FILTER (WHERE reason IS NOT NULL) AS bad, "
+        "count(*) FILTER (WHERE reason IS NULL) AS listings FROM graded GROUP BY 1, 2",
+    ),
+)
+def quarantine_counts(spark, sf_dir):
+    return src.page_counts(spark, _drop_pages(spark, sf_dir), multi_line=False, glob="*.txt")
+
+
+@query(
+    "bad_pages",
+    o.with_(
+        o.LISTINGS,
+        *_PAGED_SQL,
+        select="SELECT store, ingestion_date, reason, count(DISTINCT page) AS pages FROM graded WHERE reason IS NOT NULL GROUP BY 1, 2, 3",
+    ),
+)
+def bad_pages(spark, sf_dir):
+    """Bad pages put aside and read back."""
+    root = scratch_path(spark, "quarantine")
+    src.quarantine(src.bad_pages(spark, _drop_pages(spark, sf_dir), multi_line=False, glob="*.txt"), root)
+    return src.quarantined(spark, root).groupBy("store", "ingestion_date", "reason").agg(F.count(F.lit(1)).alias("pages"))
+
+
+@query(
+    "append_day_added",
+    o.with_(
+        o.LISTINGS,
+        select="SELECT event_id, vendor, CASE WHEN event_id % 2 <> 0 THEN handle END AS sku, CASE WHEN event_id % 2 <> 0 THEN id END AS stock, "
+        "store, ingestion_date FROM listings",
+    ),
+)
+def append_day_added(spark, sf_dir):
+    """The second half of the rows brings two columns that the table gets then."""
+    rows = listings(spark, sf_dir)
+    even = rows.where("event_id % 2 = 0").select("event_id", "vendor", "store", "ingestion_date")
+    odd = rows.where("event_id % 2 <> 0").select("event_id", F.col("handle").alias("sku"), "vendor", F.col("id").alias("stock"), "store", "ingestion_date")
+    name = f"added_{uuid.uuid4().hex}"
+    src.ensure_table(spark, name, even, path=scratch_path(spark, "added"))
+    src.append_day(spark, name, even)
+    src.append_day(spark, name, odd, on_unknown="add")
+    return spark.table(name)
+
+
+@query(
+    "append_day_other",
+    o.with_(
+        o.LISTINGS,
+        select="SELECT event_id, first_price AS price, CASE WHEN event_id % 2 <> 0 THEN handle END AS sku, "
+        "CASE WHEN event_id % 2 <> 0 THEN vendor END AS maker, store, ingestion_date FROM listings",
+    ),
+)
+def append_day_other(spark, sf_dir):
+    """The second half brings a column and a nested field, kept in the VARIANT column."""
+    rows = listings(spark, sf_dir)
+    price = F.get("variants", F.lit(0))["price"].alias("price")
+    keys = [F.col("store"), F.col("ingestion_date")]
+    even = rows.where("event_id % 2 = 0").select("event_id", F.array(F.struct(price)).alias("variants"), *keys)
+    wider = F.array(F.struct(F.col("handle").alias("sku"), price)).alias("variants")
+    odd = rows.where("event_id % 2 <> 0").select("event_id", wider, F.col("vendor").alias("maker"), *keys)
+    name = f"other_{uuid.uuid4().hex}"
+    src.ensure_table(spark, name, even, path=scratch_path(spark, "other"))
+    for half in (even, odd):
+        src.append_day(spark, name, half, on_unknown="other")
+    sku = F.try_variant_get("other", "$.variants[0].sku", "string").alias("sku")
+    maker = F.try_variant_get("other", "$.maker", "string").alias("maker")
+    return spark.table(name).select("event_id", F.get("variants", F.lit(0))["price"].alias("price"), sku, maker, *keys)
+
+
+@query(
+    "delete_days",
+    o.with_(o.LISTINGS, o.staged(), select=_TABLE_ROWS + " WHERE NOT (store IN ('click', 'view') AND ingestion_date >= '2024-01-10')"),
+)
+def delete_days(spark, sf_dir):
+    """Many days of two shops in one catalog statement."""
+    name, _ = _products_table(spark, sf_dir)
+    src.delete_days(spark, name, [(s, d) for s, d in _drops(spark, sf_dir) if s in ("click", "view") and d >= "2024-01-10"])
+    return spark.table(name)
+
+
+_STATE_COLUMNS = ("event_id", "id", "title", "vendor", "handle", "updated_at", "store", "ingestion_date")
+
+
+def _bucketed_products(spark: SparkSession, sf_dir: str, rows: DataFrame) -> str:
+    name = f"bucketed_{uuid.uuid4().hex}"
+    src.ensure_table(spark, name, rows, path=scratch_path(spark, "bucketed"), buckets=8)
+    return name
+
+
+@query(
+    "latest_state",
+    o.with_(
+        o.LISTINGS,
+        f"landed AS (SELECT * REPLACE (CASE WHEN ingestion_date = '{TODAY}' THEN 'replaced' ELSE vendor END AS vendor) FROM listings)",
+        o.latest("landed", "store, id"),
+        select="SELECT event_id, id, title, vendor, handle, updated_at, store, ingestion_date FROM latest",
+    ),
+)
+def latest_state(spark, sf_dir):
+    """Advanced in the middle, at the end, and after a day in between was landed again."""
+    rows = listings(spark, sf_dir).select(*_STATE_COLUMNS)
+    days = sorted({d for _, d in _drops(spark, sf_dir)})
+    products = _bucketed_products(spark, sf_dir, rows)
+    state, path = f"state_{uuid.uuid4().hex}", scratch_path(spark, "state")
+    src.append_day(spark, products, rows.where(F.col("ingestion_date") < TODAY))
+    plans.advance_state(spark, products, state, YESTERDAY, path=path, buckets=8)
+    src.append_day(spark, products, rows.where(F.col("ingestion_date") >= TODAY))
+    plans.advance_state(spark, products, state, days[-1], path=path, buckets=8)
+    again = rows.where(F.col("ingestion_date") == TODAY).withColumn("vendor", F.lit("replaced"))
+    src.replace_days(spark, products, again, [(s.name, TODAY) for s in EVENT_STORES])
+    plans.advance_state(spark, products, state, TODAY, path=path, buckets=8)
+    return plans.latest_state(spark, state)
+
+
+@query("sold_from_state", o.with_(
+    o.LISTINGS,
+    f"seen AS (SELECT * FROM listings WHERE ingestion_date <= '{TODAY}')",
+    o.latest("seen", "store, id"),
+    select=f"SELECT event_id, id, title, vendor, store, ingestion_date, '{TODAY}' AS sold_date FROM latest WHERE ingestion_date = '{YESTERDAY}'",
+))
+def sold_from_state(spark, sf_dir):
+    rows = listings(spark, sf_dir).select(*_STATE_COLUMNS)
+    products = _bucketed_products(spark, sf_dir, rows)
+    state, path = f"state_{uuid.uuid4().hex}", scratch_path(spark, "state")
+    src.append_day(spark, products, rows)
+    for day in (YESTERDAY, TODAY):
+        plans.advance_state(spark, products, state, day, path=path, buckets=8)
+    gone = plans.sold_from_state(spark, state, TODAY, YESTERDAY)
+    return gone.select("event_id", "id", "title", "vendor", "store", "ingestion_date", "sold_date")
+
+
+@query("snapshot_diff_bucketed", _gone_sql("SELECT event_id, id, title, vendor, store, ingestion_date, sold_date FROM staged"))
+def snapshot_diff_bucketed(spark, sf_dir):
+    """The diff over a table whose days are dealt by listing: no shuffle."""
+    rows = listings(spark, sf_dir).select(*_STATE_COLUMNS)
+    products = _bucketed_products(spark, sf_dir, rows)
+    src.append_day(spark, products, rows)
+    gone = op.snapshot_diff(spark.table(products), TODAY, key=("store", "id"), ties=("event_id",))
+    return gone.select("event_id", "id", "title", "vendor", "store", "ingestion_date", "sold_date")
+
+
 @query(
     "day_path",
     "SELECT event_type || '/' || year(ts) || '/' || month(ts) || '/' || day(ts) AS path, count(*) AS n "
@@ -1061,6 +1263,52 @@ def box_stats_empty(spark, sf_dir):
     return op.quartiles(_tailed(spark, sf_dir).select(F.when(F.col("o_orderkey") < 0, F.col("price")).alias("price")), "price")
 
 
+def _wide_box(select: str) -> str:
+    """Figures of prices as stored: a double, a decimal and a 64-bit integer beyond 32 bits."""
+    kinds = ("CAST(l_extendedprice AS DOUBLE)", "CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE)", "CAST(l_orderkey * 10000019 - 5000000000 AS DOUBLE)")
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS kind, * FROM (" + o.with_(f"source AS (SELECT {kind} AS x FROM lineitem)", o.box("x", "source"), select=select) + ")"
+        for name, kind in zip(("double", "decimal", "bigint"), kinds)
+    )
+
+
+def _wide(spark: SparkSession, sf_dir: str, figures: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("double"),
+        F.col("l_extendedprice").cast("decimal(10,2)").alias("decimal"),
+        (F.col("l_orderkey") * F.lit(10000019) - F.lit(5000000000)).alias("bigint"),
+    )
+    return reduce(DataFrame.unionByName, [figures(lines, c).select(F.lit(c).alias("kind"), "*") for c in lines.columns])
+
+
+@query("quartiles_wide", _wide_box("SELECT q1, median, q3 FROM box"))
+def quartiles_wide(spark, sf_dir):
+    """Exact quartiles of columns that are no 32-bit integers."""
+    return _wide(spark, sf_dir, op.quartiles)
+
+
+@query("box_stats_wide", _wide_box(o.box_select()))
+def box_stats_wide(spark, sf_dir):
+    return _wide(spark, sf_dir, op.box_stats)
+
+
+@query(
+    "box_outliers_decimal",
+    o.with_(
+        "tailed AS (SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(o_orderkey AS DECIMAL(12,0)) AS DECIMAL(24,2)) AS price "
+        "FROM orders)",
+        "wide AS (SELECT o_orderkey, price, CAST(price AS DOUBLE) AS x FROM tailed)",
+        o.box("x", "wide"),
+        select="SELECT o_orderkey, price FROM wide, box WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)",
+    ),
+)
+def box_outliers_decimal(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr("cast(cast(o_totalprice as decimal(12,2)) * cast(o_orderkey as decimal(12,0)) as decimal(24,2))").alias("price")
+    )
+    return op.box_outliers(rows, "price")
+
+
 _RANKS_SQL = (
     'ranks AS (SELECT product_type, count(*) AS "count", row_number() OVER (ORDER BY count(*) DESC, product_type) AS rank '
     "FROM report GROUP BY 1)"

@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.operators.ranks import values_at
+
 QUARTILES = (0.25, 0.5, 0.75)
 
 _BLOCK_BITS = 16
 
 
 def _five_numbers(df: DataFrame, column: str) -> DataFrame:
-    """One row: ``least`` and the exact quartiles ``q1``, ``q2``, ``q3`` of an integer column.
+    """One row: ``least`` and the exact quartiles ``q1``, ``q2``, ``q3`` of a numeric column.
 
+    For integers of at most 32 bits this is one lazy plan; wider and fractional columns are
+    searched by rounds when this is called.
     ``percentile`` keeps a counter per distinct value in one task.  To bound that, values
     are counted first, and blocks of 2^16 neighbouring values that hold none of the wanted
     ranks are then represented by one value each, which leaves every other rank as it was.
@@ -21,7 +25,7 @@ def _five_numbers(df: DataFrame, column: str) -> DataFrame:
     number of rows or distinct values.
     """
     if not isinstance(df.schema[column].dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-        raise TypeError(f"{column} must be an integer column of at most 32 bits")
+        return _five_numbers_by_rounds(df, column)
 
     value = F.col(column).alias("value")
     counts = df.select(value).where(F.col("value").isNotNull()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
@@ -53,8 +57,25 @@ def _five_numbers(df: DataFrame, column: str) -> DataFrame:
     return stats.select("least", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(len(QUARTILES))])
 
 
+def _five_numbers_by_rounds(df: DataFrame, column: str) -> DataFrame:
+    """The same for 64-bit integers, decimals, floats and doubles; quartiles are doubles."""
+    _, least, around = values_at(df, column, QUARTILES)
+
+    def between(below, above, weight: float) -> float | None:
+        return None if below is None else float(below) + (float(above) - float(below)) * weight
+
+    kind = df.schema[column].dataType
+    schema = T.StructType([T.StructField("least", T.DoubleType() if isinstance(kind, T.FloatType) else kind)])
+    for i in range(len(QUARTILES)):
+        schema.add(f"q{i + 1}", T.DoubleType())
+    return df.sparkSession.createDataFrame([(least, *[between(*a) for a in around])], schema)
+
+
 def quartiles(df: DataFrame, column: str) -> DataFrame:
-    """``q1``, ``median``, ``q3`` of an integer column, exact and linearly interpolated."""
+    """``q1``, ``median``, ``q3`` of a numeric column, exact and linearly interpolated.
+
+    NULL and NaN do not count.
+    """
     return _five_numbers(df, column).select("q1", F.col("q2").alias("median"), "q3")
 
 
