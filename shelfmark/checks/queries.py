@@ -16,6 +16,7 @@ from shelfmark import plans
 from shelfmark import sources as src
 from shelfmark.checks import oracle as o
 from shelfmark.checks.adapters import EVENT_STORES, TODAY, YESTERDAY, body_html, listings, sold_view, table
+from shelfmark.schemas import SOLD_PARTITIONS
 from shelfmark.session import scratch_path
 from shelfmark.stores import HTML_ATTRIBUTES
 
@@ -1390,3 +1391,62 @@ def dashboard(spark, sf_dir):
     columns = ["id", "store", "vendor", "title", "price", "product_type", "condition", "exterior_color", "days_on_market", "sold_date"]
     page = plans.dashboard(sold_view(spark, sf_dir, columns), type_chart=False)
     return page["sales_per_day_vendor"]
+
+
+# The rollup of a sold table, kept in step by every write to it
+
+_DATED_SQL = (
+    "dated AS (SELECT store, ingestion_date AS sold_date, vendor, title, CAST(trunc(price) AS INTEGER) AS price, days_on_market, "
+    "CAST(substr(ingestion_date, 9) AS INTEGER) AS dom, event_id FROM staged)",
+    "stored AS (SELECT *, price IS NOT NULL AND days_on_market IS NOT NULL AND title IS NOT NULL AS shown FROM dated "
+    "WHERE dom % 7 <> 0 AND (dom % 5 <> 0 OR event_id % 2 = 0))",
+)
+
+
+def _rolled_up(spark: SparkSession, sf_dir: str) -> str:
+    """A sold table with a rollup: rows appended twice, every fifth day replaced, every seventh deleted."""
+    columns = ["event_id", "vendor", "title", "price", "days_on_market", "store", F.col("ingestion_date").alias("sold_date")]
+    rows = _staged(spark, sf_dir).select(*columns)
+    drops = _drops(spark, sf_dir)
+    sold, rollup = f"sold_{uuid.uuid4().hex}", f"rollup_{uuid.uuid4().hex}"
+    src.ensure_table(spark, sold, rows, SOLD_PARTITIONS, scratch_path(spark, "sold"))
+    src.attach_rollup(spark, sold, rollup, scratch_path(spark, "rollup"))
+    for part in (rows.where("event_id % 3 = 0"), rows.where("event_id % 3 <> 0")):
+        src.append_day(spark, sold, part.hint("rebalance", F.col("store"), F.col("sold_date")))
+    fifth = [d for d in drops if int(d[1][8:]) % 5 == 0]
+    again = rows.where((F.substring("sold_date", 9, 2).cast("int") % 5 == 0) & (F.col("event_id") % 2 == 0))
+    src.replace_days(spark, sold, again, fifth, "sold_date")
+    src.delete_days(spark, sold, [d for d in drops if int(d[1][8:]) % 7 == 0], "sold_date")
+    return sold
+
+
+@query(
+    "sold_rollup",
+    o.with_(
+        o.LISTINGS,
+        o.staged(),
+        *_DATED_SQL,
+        select="SELECT store, sold_date, vendor, count(*) AS n_rows, count(*) FILTER (WHERE shown) AS sales_count, "
+        "CAST(sum(price) FILTER (WHERE shown) AS BIGINT) AS revenue, min(price) AS price_min, max(price) AS price_max, "
+        "min(days_on_market) AS days_on_market_min, max(days_on_market) AS days_on_market_max FROM stored GROUP BY ALL",
+    ),
+)
+def sold_rollup(spark, sf_dir):
+    return src.read_rollup(spark, _rolled_up(spark, sf_dir))
+
+
+@query(
+    "dashboard_rollup",
+    o.with_(
+        o.LISTINGS,
+        o.staged(),
+        *_DATED_SQL,
+        select="SELECT CAST(sold_date AS DATE) AS sold_date, vendor, count(*) AS sales_count FROM stored "
+        "WHERE shown AND vendor IS NOT NULL GROUP BY ALL",
+    ),
+)
+def dashboard_rollup(spark, sf_dir):
+    """The per-vendor series of an unfiltered page, which reads the rollup alone."""
+    sold = _rolled_up(spark, sf_dir)
+    page = plans.dashboard(spark.table(sold), type_chart=False, partials=src.read_rollup(spark, sold))
+    return page["sales_per_day_vendor"].drop("label")

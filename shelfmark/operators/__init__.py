@@ -5,6 +5,8 @@ from shelfmark.operators.aggregates import (
     counts_by_type,
     daily_vendor_rollup,
     distinct_vendors,
+    merged_bounds,
+    merged_rollup,
     order_weekday,
     products_by_vendor,
     revenue_per_day,
@@ -13,6 +15,7 @@ from shelfmark.operators.aggregates import (
     sales_by_weekday,
     sales_per_day,
     sales_per_day_vendor,
+    sold_partials,
     vendor_totals,
     weekday_spine,
 )

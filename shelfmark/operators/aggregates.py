@@ -125,3 +125,36 @@ def daily_vendor_rollup(df: DataFrame) -> DataFrame:
     return df.groupBy("sold_date", "vendor").agg(
         _n_rows().alias("sales_count"), F.sum("price").alias("revenue")
     )
+
+
+def sold_partials(df: DataFrame, date: str = "sold_date") -> DataFrame:
+    """Mergeable figures of stored sold rows per (store, date, vendor), NULL vendors kept.
+
+    ``n_rows``, the bounds of whole price and age, and ``sales_count`` and ``revenue`` of the rows that
+    an unfiltered report shows: those with a price, an age and a title.
+    """
+    price, days = F.col("price").cast("int"), F.col("days_on_market")
+    shown = price.isNotNull() & days.isNotNull() & F.col("title").isNotNull()
+    return df.groupBy("vendor", "store", date).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(shown).alias("sales_count"),
+        F.sum(F.when(shown, price)).alias("revenue"),
+        *[f(c).alias(f"{n}_{f.__name__}") for n, c in (("price", price), ("days_on_market", days)) for f in (F.min, F.max)],
+    )
+
+
+def merged_bounds(partials: DataFrame) -> DataFrame:
+    """``bounds`` of the rows that ``partials`` were made from."""
+    return partials.agg(
+        *[f(f"{c}_{f.__name__}").alias(f"{c}_{f.__name__}") for c in ("price", "days_on_market") for f in (F.min, F.max)],
+        *[f(F.to_date("sold_date")).alias(f"sold_date_{f.__name__}") for f in (F.min, F.max)],
+    )
+
+
+def merged_rollup(partials: DataFrame) -> DataFrame:
+    """``daily_vendor_rollup`` of the shown rows that ``partials`` were made from, all shops together."""
+    return (
+        partials.where(F.col("sales_count") > 0)
+        .groupBy(F.to_date("sold_date").alias("sold_date"), "vendor")
+        .agg(F.sum("sales_count").alias("sales_count"), F.sum("revenue").alias("revenue"))
+    )

@@ -10,6 +10,8 @@ from shelfmark.operators.aggregates import (
     bounds,
     daily_vendor_rollup,
     distinct_vendors,
+    merged_bounds,
+    merged_rollup,
     products_by_vendor,
     revenue_per_day,
     row_count,
@@ -20,10 +22,18 @@ from shelfmark.operators.aggregates import (
     vendor_totals,
 )
 from shelfmark.operators.boxplot import box_outliers, box_stats
-from shelfmark.operators.filters import filter_sold, prepare_sold
+from shelfmark.operators.filters import filter_sold, filter_vendor, prepare_sold
 from shelfmark.operators.points import price_vs_condition_points, price_vs_type_points
 
 
+def _reached(partials: DataFrame, dates, vendor: str) -> DataFrame:
+    """Partial aggregates of the chosen dates and vendor."""
+    low, high = dates or (None, None)
+    out = filter_vendor(partials, vendor)
+    out = out if low is None else out.where(F.col("sold_date") >= str(low)[:10])
+    return out if high is None else out.where(F.col("sold_date") <= str(high)[:10])
+
+
 def dashboard(
     sold: DataFrame,
     price=None,
@@ -33,15 +43,23 @@ def dashboard(
     color: str | None = None,
     vendor: str = "All",
     type_chart: bool = True,
+    partials: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Frames of a report page by name; ``color`` (also '') adds those of shops with colors.
 
     Seven of them follow from one rollup by date and vendor, which is cached: it is small
     and replaces seven scans.  Call ``result["rollup"].unpersist()`` when done.  Box plots
     and points read only their own columns from the filtered table.
+
+    With ``partials`` (``read_rollup`` of the same table and shops) the choices come from them, and so
+    do those seven frames unless price, age, title or color are filtered: no sold row is read then.
     """
     rows = prepare_sold(filter_sold(sold, price, days, dates, title, color, vendor))
-    rollup = daily_vendor_rollup(rows).persist()
+    by_row = title or color is not None or any(v is not None for pair in (price, days) for v in pair or ())
+    if partials is None or by_row:
+        rollup = daily_vendor_rollup(rows).persist()
+    else:
+        rollup = merged_rollup(_reached(partials, dates, vendor)).persist()
     weight = "sales_count"
     per_day_vendor = sales_per_day_vendor(rollup, weight)
     revenue = revenue_per_day(rollup.select("sold_date", F.col("revenue").alias("price")))
@@ -51,8 +69,8 @@ def dashboard(
     page = {
         "rows": rows,
         "rollup": rollup,
-        "bounds": bounds(prepare_sold(sold)),
-        "vendors": distinct_vendors(sold),
+        "bounds": bounds(prepare_sold(sold)) if partials is None else merged_bounds(partials),
+        "vendors": distinct_vendors(sold if partials is None else partials),
         "row_count": row_count(rollup, weight),
         "box_price": box_price,
         "box_days": box_days,

@@ -28,6 +28,7 @@ from shelfmark.sources.pages import (
     release,
     scan_pages,
 )
+from shelfmark.sources.rollup import attach_rollup, detach_rollup, read_rollup, repair_rollup, rollup_of
 from shelfmark.sources.seeds import VALID_VENDORS, load_seed
 from shelfmark.sources.tables import (
     align_to_table,

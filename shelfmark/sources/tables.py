@@ -1,4 +1,7 @@
-"""Rerun-safe maintenance of partitioned Parquet tables in the session catalog."""
+"""Rerun-safe maintenance of partitioned Parquet tables in the session catalog.
+
+Functions that change rows keep the table's rollup, if it has one, in step (see ``rollup``).
+"""
 
 from __future__ import annotations
 
@@ -223,11 +226,18 @@ def append_day(spark: SparkSession, name: str, df: DataFrame, on_unknown: str =
 
     See ``fit_to_table`` for columns the table does not have.
     """
+    from shelfmark.sources.rollup import in_step, rollup_of
+
     seen = Observation()
     rows = fit_to_table(spark, name, df, on_unknown, seen_on)
     count, own = _buckets(spark, name)
     rows = rows.repartition(count, *own) if count else rows
-    rows.observe(seen, F.count(F.lit(1)).alias("written")).write.insertInto(name)
+    metrics = [F.count(F.lit(1)).alias("written")]
+    if rollup_of(spark, name):
+        metrics.append(F.collect_set(F.struct(*partition_columns(spark, name))).alias("filled"))
+    with in_step(spark, name) as touched:
+        rows.observe(seen, *metrics).write.insertInto(name)
+        touched.update(tuple(p) for p in seen.get.get("filled", ()))
     return seen.get["written"]
 
 
@@ -272,18 +282,26 @@ def drop_partitions(spark: SparkSession, name: str, wanted: Iterable[dict[str, s
     entry; they are deleted after it, so a reader finds a partition whole or not at all, and repeating
     the call finishes what a crash left.  Returns partitions dropped.
     """
+    from shelfmark.sources.rollup import in_step
+
     wanted = list(wanted)
     if not wanted:
         return 0
-    columns = partition_columns(spark, name)
     gone = [p for p in partition_values(spark, name) if any(all(p.get(c) == v for c, v in w.items()) for w in wanted)]
+    with in_step(spark, name, [tuple(p.values()) for p in gone]):
+        _drop(spark, name, wanted, gone)
+    return len(gone)
+
+
+def _drop(spark: SparkSession, name: str, wanted: list[dict[str, str]], gone: list[dict[str, str]]) -> None:
+    """Drop the partitions ``gone``, and the files of those in ``wanted`` that the catalog no longer knows."""
+    columns = partition_columns(spark, name)
     if gone:
         spark.sql(f"ALTER TABLE {_name(name)} DROP IF EXISTS {_partition_spec(gone)}")
     about = _described(spark, name)
     if about.get("Type") == "EXTERNAL":
         whole = gone + [w for w in wanted if set(w) == set(columns) and w not in gone]
         remove_folders(spark, ["/".join([about["Location"], *[f"{c}={_escaped(p[c])}" for c in columns]]) for p in whole])
-    return len(gone)
 
 
 def _escaped(value: str) -> str:
@@ -297,18 +315,23 @@ def insert_bucketed(spark: SparkSession, name: str, df: DataFrame, replaced: Ite
     Rows are dealt by the bucket columns to as many tasks as there are buckets, so every task fills
     one bucket.  Partitions that ``replaced`` names and the rows do not fill are dropped.
     """
+    from shelfmark.sources.rollup import in_step
+
     replaced = list(replaced)
     rows = align_to_table(df, spark.table(name).schema)
     count, columns = _buckets(spark, name)
     seen = Observation()
     partitions = list(partition_columns(spark, name))
     filled = F.collect_set(F.struct(*[F.col(c).cast("string").alias(c) for c in partitions]))
-    with _dynamic_overwrite(spark):
-        dealt = rows.repartition(count, *columns) if count else rows
-        dealt.observe(seen, F.count(F.lit(1)).alias("written"), filled.alias("filled")).write.mode("overwrite").insertInto(name)
-    kept = {tuple(p[c] for c in partitions) for p in (r.asDict() for r in seen.get["filled"])}
-    stale = [p for p in partition_values(spark, name) if any(all(p[c] == v for c, v in w.items()) for w in replaced)]
-    drop_partitions(spark, name, [p for p in stale if tuple(p[c] for c in partitions) not in kept])
+    with in_step(spark, name) as touched:
+        with _dynamic_overwrite(spark):
+            dealt = rows.repartition(count, *columns) if count else rows
+            dealt.observe(seen, F.count(F.lit(1)).alias("written"), filled.alias("filled")).write.mode("overwrite").insertInto(name)
+        kept = {tuple(p[c] for c in partitions) for p in (r.asDict() for r in seen.get["filled"])}
+        stale = [p for p in partition_values(spark, name) if any(all(p[c] == v for c, v in w.items()) for w in replaced)]
+        stale = [p for p in stale if tuple(p[c] for c in partitions) not in kept]
+        _drop(spark, name, stale, stale)
+        touched.update(kept | {tuple(p[c] for c in partitions) for p in stale})
     return seen.get["written"]
 
 
@@ -351,6 +374,8 @@ def replace_days(
     ``drops`` fail the job instead of replacing a partition nobody named, and so does a
     difference between the rows written and those found afterwards.
     """
+    from shelfmark.sources.rollup import in_step
+
     drops = list(drops)
     rows = fit_to_table(spark, name, df, on_unknown, max((d for _, d in drops), default=None))
     key = F.concat_ws("/", "store", column)
@@ -362,15 +387,18 @@ def replace_days(
     metrics = F.count(F.lit(1)).alias("written"), F.collect_set(key).alias("filled")
     count, own = _buckets(spark, name)
     guarded = guarded.repartition(count, *own) if count else guarded
-    with _dynamic_overwrite(spark):
-        guarded.observe(seen, *metrics).write.mode("overwrite").insertInto(name)
-
-    counts = _drop_counts(spark, name, drops, column)
-    filled = set(seen.get["filled"])
-    emptied = [d for d in counts if "/".join(d) not in filled]
-    delete_days(spark, name, emptied, column)
-    for drop in emptied:
-        counts.pop(drop)
+    with in_step(spark, name, drops):
+        with _dynamic_overwrite(spark):
+            guarded.observe(seen, *metrics).write.mode("overwrite").insertInto(name)
+
+        counts = _drop_counts(spark, name, drops, column)
+        filled = set(seen.get["filled"])
+        emptied = [d for d in counts if "/".join(d) not in filled]
+        if emptied:
+            gone = [{"store": store, column: day} for store, day in emptied]
+            _drop(spark, name, gone, gone)
+        for drop in emptied:
+            counts.pop(drop)
     if sum(counts.values()) != seen.get["written"]:
         raise RuntimeError(f"{name}: wrote {seen.get['written']} rows but found {sum(counts.values())}")
     return {drop: counts.get(drop, 0) for drop in drops}
