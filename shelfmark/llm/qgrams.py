@@ -28,6 +28,8 @@ SHORTEST = 48  # shorter passages have to occur without an edit
 BLOCK_CHARS = 4_000_000
 SLICE = 400_000  # characters searched together
 FILTER_BITS = 22
+LIMIT = 4_000_000  # shared places of passages held at once
+WALL = np.uint32(0x110000)  # beyond Unicode, so no text holds it
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -91,9 +93,10 @@ class Passages(NamedTuple):
     ids: list
     points: list[np.ndarray]
     grams: np.ndarray  # sorted
-    first: np.ndarray  # where each gram's occurrences start in the next two
-    owner: np.ndarray
+    owner: np.ndarray  # of each occurrence, by gram, passage and place
     place: np.ndarray
+    runs: np.ndarray  # gram number times passages plus passage, sorted, for every gram a passage has
+    run_first: np.ndarray  # where each run's occurrences start
     bitmap: np.ndarray
 
 
@@ -115,13 +118,15 @@ def index(items: list[tuple], q: int = Q) -> Passages:
         points.append(own)
     if not grams:
         empty = np.empty(0, np.int32)
-        return Passages(ids, points, np.empty(0, np.uint64), np.zeros(1, np.int64), empty, empty, np.zeros(1 << FILTER_BITS, bool))
+        none = np.empty(0, np.int64)
+        return Passages(ids, points, np.empty(0, np.uint64), empty, empty, none, np.zeros(1, np.int64), np.zeros(1 << FILTER_BITS, bool))
     every, owners, places = np.concatenate(grams), np.concatenate(owner), np.concatenate(place)
     order = np.argsort(every, kind="stable")
-    distinct, first = np.unique(every[order], return_index=True)
+    distinct, number = np.unique(every[order], return_inverse=True)
+    runs, run_first = np.unique(number.astype(np.int64) * len(ids) + owners[order], return_index=True)
     bitmap = np.zeros(1 << FILTER_BITS, bool)
     bitmap[distinct >> np.uint64(64 - FILTER_BITS)] = True
-    return Passages(ids, points, distinct, np.append(first, len(every)), owners[order], places[order], bitmap)
+    return Passages(ids, points, distinct, owners[order], places[order], runs, np.append(run_first, len(every)), bitmap)
 
 
 def budget(length: int, rate: float, shortest: int = SHORTEST) -> int:
@@ -172,12 +177,91 @@ def matches(texts: list[str], passages: Passages, q: int = Q, rate: float = RATE
     return found + (_search(parts, numbers, passages, q, rate) if parts else [])
 
 
+def _regions(
+    where: np.ndarray, docs: np.ndarray, at: np.ndarray, begins: np.ndarray, ends: np.ndarray, passages: Passages, q: int, rate: float
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, passage, low, high, edits allowed) of regions whose bands reach the bound.
+
+    ``where``, ``docs`` and ``at`` are place, document and number of the grams that both sides have.
+    Passages are halved until their shared places fit ``LIMIT``; one that alone has more, as repetitive
+    texts do, is counted band by band.
+    """
+    count = len(passages.ids)
+    lengths = np.array([len(p) for p in passages.points])
+    budgets = np.array([budget(n, rate) for n in lengths])
+    bound = lengths - q + 1 - budgets * q
+    longest = int(lengths.max())
+    todo = [(where, docs, at, 0, count)]
+    while todo:
+        where, docs, at, first, last = todo.pop()
+        low, high = (np.searchsorted(passages.runs, at * count + item) for item in (first, last))
+        kept = high > low
+        where, docs, at, low, high = where[kept], docs[kept], at[kept], low[kept], high[kept]
+        start = passages.run_first[low]
+        counts = passages.run_first[high] - start
+        if not len(where):
+            continue
+        if counts.sum() > LIMIT:
+            if last - first == 1:
+                k, m = int(budgets[first]), int(lengths[first])
+                for doc in np.unique(docs).tolist():
+                    own, begin = docs == doc, int(begins[doc])
+                    for a, b in _dense(where[own] - begin, at[own], int(ends[doc]) - begin, first, passages, k, int(bound[first])):
+                        yield doc, first, begin + a - k, begin + b + m + k, k
+            else:
+                middle = (first + last) // 2
+                todo += [(where, docs, at, middle, last), (where, docs, at, first, middle)]
+            continue
+        spread = np.repeat(start - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
+        items, offsets = passages.owner[spread], passages.place[spread]
+        doc_of, place = np.repeat(docs, counts), np.repeat(where, counts)
+        # Diagonals are counted from the document's start less the longest passage, so none is negative.
+        cells = (place - begins[doc_of] - offsets + longest) // np.maximum(budgets[items], 1)
+        most = int(cells.max()) + 3
+        for shift in (0, 1):  # a band covers two cells; shifted by one, bands overlap by half
+            key = (doc_of.astype(np.int64) * count + items) * most + (cells + shift) // 2
+            # A place of the passage counts once in a band, however often the document has its gram.
+            pair = np.unique(key * (longest + 1) + offsets)
+            groups, shared = np.unique(pair // (longest + 1), return_counts=True)
+            item = (groups // most) % count
+            full = shared >= np.maximum(bound[item], 1)
+            for g, i in zip(groups[full].tolist(), item[full].tolist()):
+                doc, cell, k = g // most // count, (g % most) * 2 - shift, int(budgets[i])
+                wide = max(k, 1)
+                begin = int(begins[doc]) + cell * wide - longest - k
+                yield doc, i, begin, begin + 2 * wide + int(lengths[i]) + 2 * k, k
+
+
+def _dense(places: np.ndarray, grams: np.ndarray, length: int, item: int, passages: Passages, k: int, bound: int) -> list[list[int]]:
+    """First and last diagonal of overlapping bands of one document that reach one passage's bound.
+
+    A place of the passage is shared in a band if the document has its gram in the band's window for
+    that place, which a search in the sorted (gram, place) pairs tells without listing them all.
+    """
+    own = np.flatnonzero(passages.owner == item)
+    run = np.searchsorted(passages.run_first, own, "right") - 1
+    gram, offset = passages.runs[run] // len(passages.ids), passages.place[own].astype(np.int64)
+    size = length + 2
+    pairs = np.sort(grams * size + places)
+    wide = max(k, 1)
+    starts = np.arange(-len(passages.points[item]) - wide, length + 1, wide)
+    merged: list[list[int]] = []
+    step = max(LIMIT // len(own), 1)
+    for chunk in range(0, len(starts), step):
+        window = starts[chunk : chunk + step, None] + offset
+        low, high = (np.searchsorted(pairs, gram * size + np.clip(window + end, 0, size - 1)) for end in (0, 2 * wide))
+        for begin in starts[chunk : chunk + step][(high > low).sum(axis=1) >= max(bound, 1)].tolist():
+            if merged and begin <= merged[-1][1]:
+                merged[-1][1] = begin + 2 * wide
+            else:
+                merged.append([begin, begin + 2 * wide])
+    return merged
+
+
 def _search(parts: list[np.ndarray], numbers: list[int], passages: Passages, q: int, rate: float) -> list[tuple[int, int, int, int, int]]:
-    # Documents are joined by a character that no q-gram of the benchmark has and that stays alone.
-    wall = np.array([0x10FFFF], np.uint32)
-    joined = np.concatenate([x for p in parts for x in (p, wall)])
+    joined = np.concatenate([x for p in parts for x in (p, [WALL])]).astype(np.uint32)
     points, places = normal(joined)
-    ends = np.flatnonzero(points == wall[0])
+    ends = np.flatnonzero(points == WALL)
     begins = np.concatenate(([0], ends[:-1] + 1))
     raw_begins = np.concatenate(([0], np.cumsum([len(p) + 1 for p in parts])[:-1]))
     out = []
@@ -195,42 +279,21 @@ def _search(parts: list[np.ndarray], numbers: list[int], passages: Passages, q:
         at = np.minimum(np.searchsorted(passages.grams, hashes[hit]), len(passages.grams) - 1)
         same = passages.grams[at] == hashes[hit]
         hit, at = hit[same], at[same]
-        counts = passages.first[at + 1] - passages.first[at]
-        spread = np.repeat(passages.first[at] - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        where = np.repeat(hit, counts)
-        items, offsets = passages.owner[spread], passages.place[spread]
-        lengths = np.array([len(p) for p in passages.points])
-        budgets = np.array([budget(n, rate) for n in lengths])
-        k = budgets[items]
-        docs = np.searchsorted(ends, where)
-        # Diagonals are counted from the document's start less the longest passage, so none is negative.
-        diagonal = where - begins[docs] - offsets + int(lengths.max())
-        band = np.maximum(k, 1)
-        cells = diagonal // band
-        most = int(cells.max()) + 3 if len(cells) else 3
-        bound = lengths - q + 1 - budgets * q
-        for shift in (0, 1):  # a band covers two cells; shifted by one, bands overlap by half
-            key = (docs.astype(np.int64) * len(lengths) + items) * most + (cells + shift) // 2
-            # A place of the passage counts once in a band, however often the document has its gram.
-            pair = np.unique(key * (int(lengths.max()) + 1) + offsets)
-            groups, shared = np.unique(pair // (int(lengths.max()) + 1), return_counts=True)
-            item = (groups // most) % len(lengths)
-            full = shared >= np.maximum(bound[item], 1)
-            for g, i in zip(groups[full].tolist(), item[full].tolist()):
-                doc, cell = g // most // len(lengths), (g % most) * 2 - shift
-                wide = max(int(budgets[i]), 1)
-                low = int(begins[doc]) + cell * wide - int(lengths.max()) - int(budgets[i])
-                verify(int(doc), i, low, low + 2 * wide + int(lengths[i]) + 2 * int(budgets[i]), int(budgets[i]))
-    whole = points.astype("<u4").tobytes()
-    for item, own in enumerate(passages.points):
-        if len(own) < q:  # too short for a q-gram: it has to occur as it is, between separators
-            needle = np.concatenate(([SPACE], own, [SPACE])).astype("<u4").tobytes()
-            at = whole.find(needle)
-            while at >= 0:
-                if at % 4 == 0:
-                    doc = int(np.searchsorted(ends, at // 4))
-                    verify(doc, item, at // 4, at // 4 + len(own) + 2, 0)
-                at = whole.find(needle, at + 4)
+        for region in _regions(hit, np.searchsorted(ends, hit), at, begins, ends, passages, q, rate):
+            verify(*region)
+    # Too short for a q-gram: it has to occur as it is, between separators or ends of the document.
+    short = [item for item, own in enumerate(passages.points) if len(own) < q]
+    whole = np.concatenate(([SPACE], np.where(points == WALL, SPACE, points))).astype("<u4").tobytes() if short else b""
+    for item in short:
+        own = passages.points[item]
+        needle = np.concatenate(([SPACE], own, [SPACE])).astype("<u4").tobytes()
+        found = whole.find(needle)
+        while found >= 0:
+            start = found // 4
+            doc = int(np.searchsorted(ends, start))
+            if found % 4 == 0 and start + len(own) <= ends[doc]:
+                verify(doc, item, start, start + len(own), 0)
+            found = whole.find(needle, found + 4 - found % 4)
     return out
 
 
@@ -277,7 +340,8 @@ SCHEMA = "doc_id long, item_id long, start int, end int, edits int"
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document and passage that occurs in it: the best occurrence and its edits.
 
-    A passage of m normalised characters may have ``rate * m`` edits, a short one none.  Null and
+    A passage of m normalised characters may have ``rate * m`` edits, a short one none; one under
+    ``q`` characters has to stand between separators or ends of the text.  Null and
     empty texts and passages match nothing.  Every block of the benchmark reads all documents.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))

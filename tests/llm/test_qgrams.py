@@ -53,7 +53,7 @@ def test_against_brute_force(spark):
             if not own:
                 continue
             if len(own) < qgrams.Q:
-                if f" {own} " in f" {plain(text)} ":
+                if f" {own} " in f" {plain(text)} ":  # ends of the text separate too
                     expected.add((i, j))
             elif least_edits(own, plain(text)) <= k:
                 expected.add((i, j))
@@ -104,3 +104,58 @@ def test_edges(spark):
     assert qgrams.contaminated(nothing(spark), items).count() == 0
     assert qgrams.contaminated(edges(spark), items.limit(0)).count() == 0
     assert qgrams.decontaminated(edges(spark), items.limit(0)).count() == edges(spark).count()
+
+
+def pairs(texts, items, **options):
+    found = qgrams.best_matches(texts, qgrams.index(items), qgrams.Q, qgrams.RATE)
+    return {(t, items[i][0]): v for (t, i), v in found.items()}
+
+
+def test_the_last_code_point_shifts_nothing():
+    top = chr(0x10FFFF)
+    passage = "the quick brown fox jumps over the lazy dog and then runs back to the old red barn again"
+    texts = [f"{top} first {top}{top}", f"{top}{passage}", "a clean one", f"x {top} {passage} {top}", top, passage]
+    found = pairs(texts, [(7, passage)])
+    assert {k for k in found} == {(1, 7), (3, 7), (5, 7)}
+    for (t, _), (edits, start, end) in found.items():
+        assert least_edits(plain(passage), plain(texts[t][start:end])) == edits <= 1
+    # A passage that holds it is found, and nothing reaches over the end of a text.
+    both = f"alpha beta gamma{top} delta epsilon zeta eta theta iota kappa lambda"
+    assert set(pairs([both, both[:20], both[20:], f"so {both}"], [(1, both)])) == {(0, 1), (3, 1)}
+
+
+def test_short_passages_at_the_ends():
+    texts = ["short one", "short one.", "a short one", "short one here", "shorter one", "ashort one", "short", "one", "Short--one! x", "", "x short one y short one"]
+    found = pairs(texts, [(1, "Short one"), (2, "x")])
+    assert set(found) == {(t, 1) for t in (0, 1, 2, 3, 8, 10)} | {(8, 2), (10, 2)}
+    assert found[(0, 1)] == (0, 0, 9) and found[(2, 1)] == (0, 2, 11) and found[(10, 1)] == (0, 2, 11)
+
+
+def test_one_repeated_character_is_searched_in_bounded_memory():
+    long = "a" * 100_000
+    texts = [long, "b" * 500, "a" * 1_950, "a" * 1_800, long[:50_000] + " b " + long[:50_000], "plain text"]
+    found = pairs(texts, [(1, "a" * 2_000), (2, "ab " * 30)])
+    assert {t for t, i in found if i == 1} == {0, 2, 4}
+    assert found[(0, 1)][0] == 0 and found[(2, 1)][0] == 50
+
+
+def test_halves_and_dense_bands_find_the_same(monkeypatch):
+    rng = random.Random(11)
+    for _ in range(30):
+        letters = rng.choice(["ab", "a", "abcdefgh "])
+        items = [(i, "".join(rng.choice(letters) for _ in range(rng.randint(12, 120)))) for i in range(4)]
+        texts = []
+        for i in range(12):
+            around = "".join(rng.choice(letters) for _ in range(rng.randint(0, 200)))
+            texts.append(around[:40] + mutated(rng, rng.choice(items)[1], rng.randint(0, 8)) + around[40:])
+        expected = {}
+        for t, text in enumerate(texts):
+            for i, passage in items:
+                own = plain(passage)
+                least = least_edits(own, plain(text)) if len(own) >= qgrams.Q else None
+                if least is not None and least <= qgrams.budget(len(own), qgrams.RATE):
+                    expected[(t, i)] = least
+        for limit in (4_000_000, 200, 1):
+            monkeypatch.setattr(qgrams, "LIMIT", limit)
+            found = {k: v[0] for k, v in pairs(texts, items).items() if len(plain(items[k[1]][1])) >= qgrams.Q}
+            assert found == expected
