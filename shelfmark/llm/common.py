@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.session import ensure_checkpoint_dir
@@ -47,6 +47,31 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def number_repeated(rows: DataFrame, key: list[str], tell: list[str], above: int = 1, max_keys: int = 100_000) -> DataFrame:
+    """``number`` for rows whose ``key`` more than ``above`` rows share, null for the others.
+
+    Counts from 0 among the rows that agree in ``key`` and ``tell``; which of them gets which number is
+    open.  A key with a large share of the rows is numbered task by task: each counts its own rows and
+    starts where those before it end.  Without such keys the rows come back as they are.
+    """
+    shared = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > above)
+    shared = cut(shared.select(*[F.col(c).alias(f"__{c}") for c in key]))
+    if shared.isEmpty():
+        return rows.withColumn("number", F.lit(None).cast("long"))
+    hint = small(shared, max_keys)
+    same = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in key])
+    single = rows.join(hint, same, "left_anti").withColumn("number", F.lit(None).cast("long"))
+    several = cut(rows.join(hint, same, "left_semi")).withColumn("__task", F.spark_partition_id())
+    group = key + tell
+    counts = several.groupBy(*group, "__task").agg(F.count(F.lit(1)).alias("n"))
+    until = F.sum("n").over(Window.partitionBy(*group).orderBy("__task"))
+    starts = counts.select(*[F.col(c).alias(f"__{c}") for c in group], F.col("__task").alias("__t"), (until - F.col("n")).alias("__start"))
+    within = F.row_number().over(Window.partitionBy(*group, "__task").orderBy(*key)) - 1
+    own = functools.reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group], F.col("__task") == F.col("__t"))
+    numbered = several.withColumn("__within", within).join(starts, own)
+    return single.unionByName(numbered.select(*rows.columns, (F.col("__start") + F.col("__within")).cast("long").alias("number")))
+
+
 def search(bounds: list[int], value: Column) -> Column:
     """How many of the sorted ``bounds`` are at most ``value``: a binary search without a UDF."""
     size = 1

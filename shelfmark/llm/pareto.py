@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import cut, id_text, position52, small, word_count
+from shelfmark.llm.common import cut, id_text, number_repeated, position52, small, word_count
 
 CELLS = 65536
 SEED = "mix"
@@ -119,14 +119,23 @@ def _copies(seed: str) -> Column:
     return (F.col("whole") + F.when(one_more, 1).otherwise(0)).cast("long")
 
 
+def _own_keys(sized: DataFrame) -> DataFrame:
+    """Rows of a source that share a doc_id, or have none, with a key of their own each."""
+    own = F.concat_ws("|", "key", "size", "number")
+    numbered = number_repeated(sized, ["source", "key"], ["size"])
+    return numbered.withColumn("key", F.when(F.col("number").isNull(), F.col("key")).otherwise(own)).drop("number")
+
+
 def pareto_mix(docs: DataFrame, *, seed: str = SEED, **options) -> DataFrame:
     """The mix of (doc_id, text, source): doc_id, source, size, source_size, target, copies, taken.
 
     Size is the number of words; a null text has none, and a null source is a source of its own,
-    last in order.  Rows that share a doc_id share their fate.  Without words there are no targets
+    last in order.  Rows of a source that share a doc_id, or have none, are drawn one by one; which
+    of equal rows is taken is open, how many are is not.  Without words there are no targets
     to reach: whole copies are 0 then.  An empty table gives an empty result.
     """
     sized = cut(docs.select("doc_id", F.col("source").cast("string").alias("source"), id_text().alias("key"), word_count().alias("size")))
+    sized = cut(_own_keys(sized))
     rules = small(cut(mixing_rules(sized, seed=seed, **options)).withColumnRenamed("source", "s"), MAX_SOURCES)
     mixed = sized.join(rules, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", _copies(seed))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -137,26 +146,31 @@ def mixed_documents(docs: DataFrame, *, seed: str = SEED, **options) -> DataFram
     """The documents of the mix themselves, whole rows, each as often as the mix takes it.
 
     Documents without words are kept once, as they cost the mix nothing.  Texts are not shuffled
-    unless there are more than ``MAX_SOURCES`` sources.
+    unless there are more than ``MAX_SOURCES`` sources, but for rows that share a doc_id.
     """
     columns = docs.columns
-    sized = cut(docs.select(F.col("source").cast("string").alias("source"), id_text().alias("key"), word_count().alias("size")))
-    rules = cut(mixing_rules(sized, seed=seed, **options))
-    rule = rules.select(F.col("source").alias("__s"), F.struct("whole", "chance", "cut_cell", "cut_rank", "cut_key").alias("__rule"))
-    joined = docs.join(small(rule, MAX_SOURCES), docs["source"].cast("string").eqNullSafe(F.col("__s")), "left")
+    source = F.col("source").cast("string")
     row = F.struct(*[docs[c] for c in columns]).alias("row")
-    narrow = joined.select(row, id_text().alias("key"), "__rule", word_count().alias("size"))
-    wide = narrow.select("row", "key", "size", "__rule.*")
+    whole = docs.select(row, source.alias("source"), id_text().alias("key"), word_count().alias("size"))
+    whole = _own_keys(whole)
+    sized = cut(whole.select("source", "key", "size"))
+    rules = cut(mixing_rules(sized, seed=seed, **options))
+    rule = rules.select(F.col("source").alias("s"), "whole", "chance", "cut_cell", "cut_rank", "cut_key")
+    joined = whole.join(small(rule, MAX_SOURCES), F.col("source").eqNullSafe(F.col("s")), "left")
     copies = F.when(F.col("size") == 0, 1).otherwise(_copies(seed))
-    repeated = wide.select(F.explode(F.array_repeat("row", copies.cast("int"))).alias("row"))
+    repeated = joined.select(F.explode(F.array_repeat("row", copies.cast("int"))).alias("row"))
     return repeated.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 SQL = f"""
-WITH sized AS (
-  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), '') AS key,
+WITH counted AS (
+  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), '') AS id,
          CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END AS size
   FROM documents),
+sized AS (
+  SELECT *, CASE WHEN count(*) OVER (PARTITION BY source, id) = 1 THEN id
+            ELSE id || '|' || size || '|' || (row_number() OVER (PARTITION BY source, id, size) - 1) END AS key
+  FROM counted),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, CAST(source_size AS DOUBLE) * 2.0 AS lim,

@@ -1,5 +1,6 @@
 import collections
 
+import duckdb
 import pytest
 from corpus import edges, nothing
 
@@ -61,3 +62,32 @@ def test_edges(spark):
     assert pareto.mixed_documents(edges(spark)).columns == edges(spark).columns
     assert pareto.pareto_mix(nothing(spark)).count() == 0
     assert pareto.mixed_documents(nothing(spark)).count() == 0
+
+
+def hot_ids(spark, n=3000):
+    """A third of the rows has no doc_id, a third shares one; sizes repeat."""
+    ids = lambda i: None if i % 3 == 0 else 7 if i % 3 == 1 else i
+    rows = [(ids(i), "w " * (1 + i % 4), "abc"[i % 7 % 3]) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+
+
+def test_repeated_and_missing_ids_are_drawn_one_by_one(spark):
+    docs = hot_ids(spark)
+    rows = pareto.pareto_mix(docs).collect()
+    taken, target = collections.Counter(), {}
+    for r in rows:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert len(rows) == 3000 and all(abs(taken[s] - target[s]) <= 2 for s in target)
+    order = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted(rows, key=order) == sorted(pareto.pareto_mix(docs.repartition(3)).collect(), key=order)
+    mixed = collections.Counter()
+    for r in pareto.mixed_documents(docs).collect():
+        mixed[r["source"]] += len(r["text"].split())
+    assert mixed == taken
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas().astype({"doc_id": "Int64"}))
+    columns = ["doc_id", "size", "source_size", "target", "taken"]
+    expected = con.sql(f"SELECT {', '.join(columns)} FROM ({pareto.SQL})").fetchall()
+    key = lambda r: tuple((x is not None, round(x, 6) if x is not None else 0) for x in r)
+    assert sorted(map(key, expected)) == sorted(key(tuple(r[c] for c in columns)) for r in rows)
