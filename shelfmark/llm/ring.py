@@ -18,13 +18,14 @@ import hashlib
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import cut, id_text, position52, text_of
+from shelfmark.llm.common import cut, id_text, number_repeated, position52, text_of
 
 RING_BITS = 52
 CELLS = 65536
 VNODES = 256
 SLACK = 0.002
 OVERHEAD = 16
+TOGETHER = 8  # rows of one key that go to one place of the ring; those of a larger key have one each
 
 
 def _point(label: str) -> int:
@@ -76,18 +77,23 @@ def ring_shards(docs: DataFrame, shards: int = 40, *, vnodes: int = VNODES, slac
     """doc_id, size (UTF-8 bytes plus 16), text_crc32, shard, slot (gapless within the shard).
 
     A row's point comes from its doc_id, or from its text where that is null.  Rows that agree in
-    it are one key: they stay together.  Null texts have no bytes.  An empty table gives none.
+    it are one key: up to ``TOGETHER`` of them stay together, more are dealt one by one, so that no
+    key outweighs a shard.  Null texts have no bytes.  An empty table gives none.
     """
     width = (1 << RING_BITS) // cells
     key = F.when(F.col("doc_id").isNull(), F.concat(F.lit("text|"), F.md5(text_of()))).otherwise(id_text())
-    rows = cut(
+    keyed = cut(
         docs.select(
             "doc_id",
             (F.octet_length(text_of()) + F.lit(OVERHEAD)).cast("long").alias("size"),
             F.crc32(text_of().cast("binary")).alias("text_crc32"),
-            position52(F.lit("row"), key).alias("point"),
-        ).withColumn("cell", F.floor(F.col("point") / width).cast("int"))
+            key.alias("key"),
+        )
     )
+    numbered = number_repeated(keyed, ["key"], ["size", "text_crc32"], TOGETHER)
+    own = F.when(F.col("number").isNull(), F.col("key")).otherwise(F.concat_ws("|", "key", "size", "text_crc32", "number"))
+    placed_rows = numbered.withColumn("point", position52(F.lit("row"), own)).drop("key", "number")
+    rows = cut(placed_rows.withColumn("cell", F.floor(F.col("point") / width).cast("int")))
     sums = rows.groupBy("cell").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")).collect()
     found = walk_ring({r["cell"]: r["size"] for r in sums}, shards, vnodes, slack, cells)
     # At most ``cells`` rows: the offsets of the cells within their shard, clockwise.

@@ -104,3 +104,20 @@ def test_rows_of_one_key_stay_together(spark):
     for r in ring.ring_shards(docs, 4).collect():
         shards[r["doc_id"]].add(r["shard"])
     assert all(len(s) == 1 for s in shards.values())
+
+
+@pytest.mark.parametrize("ids", [(None,), (5,), (None, 5)])
+def test_a_hot_key_does_not_outweigh_a_shard(spark, ids):
+    """A third of 4,000 rows shares a doc_id or has none, with equal texts or a few."""
+    rows = [(ids[i % len(ids)] if i % 3 == 0 else 10 + i, "t" * (50 + i % 2 if i % 3 else 50 + i % 5 // 4)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = ring.ring_shards(docs, 40).collect()
+    assert collections.Counter((r["doc_id"], r["size"] - 16) for r in found) == collections.Counter((i, len(t)) for i, t in rows)
+    filled = loads(found)
+    mean = sum(filled.values()) / 40
+    assert len(filled) == 40 and max(filled.values()) <= 1.05 * mean and min(filled.values()) >= 0.9 * mean
+    slots = collections.defaultdict(list)
+    for r in found:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+    assert collections.Counter(found) == collections.Counter(ring.ring_shards(docs.repartition(3), 40).collect())
