@@ -1450,3 +1450,22 @@ def dashboard_rollup(spark, sf_dir):
     sold = _rolled_up(spark, sf_dir)
     page = plans.dashboard(spark.table(sold), type_chart=False, partials=src.read_rollup(spark, sold))
     return page["sales_per_day_vendor"].drop("label")
+
+
+@query(
+    "compact",
+    o.with_(
+        o.LISTINGS,
+        o.staged(),
+        select="SELECT store, ingestion_date, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS ids, "
+        "CAST(sum(price) AS DECIMAL(20,2)) AS price, CAST(1 AS BIGINT) AS files FROM staged GROUP BY ALL",
+    ),
+)
+def compact(spark, sf_dir):
+    """Every day appended in pieces, then one file a day: the rows are the same."""
+    name, rows = _products_table(spark, sf_dir, load=False)
+    src.append_day(spark, name, rows.repartition(4, F.pmod("event_id", F.lit(4))))
+    src.compact(spark, name)
+    files = F.count_distinct("_metadata.file_path").alias("files")
+    sums = F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"), F.sum("price").cast("decimal(20,2)").alias("price")
+    return spark.table(name).groupBy("store", "ingestion_date").agg(*sums, files)

@@ -1,3 +1,4 @@
+from shelfmark.sources.compaction import compact, file_sizes
 from shelfmark.sources.export import export_csv
 from shelfmark.sources.landing import (
     cluster_by_vendor,
