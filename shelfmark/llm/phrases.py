@@ -33,7 +33,7 @@ from shelfmark.session import scratch_path
 KINDS = classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 LONGEST = 5
 LEAST = 100
-SLICE = 16 << 20  # bytes of text in numpy arrays together
+SLICE = 4 << 20  # bytes of text in numpy arrays together
 BITS = 26  # a bitmap has 2**26 bits (8 MB) whatever the corpus
 HASH_BITS = 40  # of a phrase's hash that are counted
 TRIE_MOST = 400_000  # candidates of a trie, on average
@@ -51,13 +51,13 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
-    """(lang, words) of slices of the texts of one language."""
+    """(lang, words) of slices of the texts of one language; only a slice's texts leave the batch at a time."""
     for batch in batches:
-        of_lang: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
-            of_lang.setdefault(lang, []).append(text)
-        for lang, texts in of_lang.items():
-            for run in slices(texts, SLICE):
+        langs, texts = batch.column(0).dictionary_encode(), batch.column(1).cast(pa.binary())
+        numbers = langs.indices.to_numpy()
+        for number, lang in enumerate(langs.dictionary.to_pylist()):
+            own = np.flatnonzero(numbers == number).tolist()
+            for run in slices((texts[i].as_py() for i in own), SLICE):
                 yield lang, cut_words(run, KINDS, lower=True)
 
 
@@ -109,16 +109,10 @@ def _scrambled(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def _word_hashes(lang: str, words: list[bytes], seen: dict) -> np.ndarray:
-    """A 64-bit hash of each word in its language; ``seen`` remembers a bounded number."""
-    digest = xxhash.xxh3_64_intdigest
-    own = seen.setdefault(lang, {})
-    if len(own) > 1 << 20:
-        own.clear()
-    for w in words:
-        if w not in own:
-            own[w] = digest(w, digest(lang.encode()))
-    return np.fromiter(map(own.__getitem__, words), np.uint64, len(words))
+def _word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each word in its language."""
+    digest, seed = xxhash.xxh3_64_intdigest, xxhash.xxh3_64_intdigest(lang.encode())
+    return np.fromiter((digest(w, seed) for w in words), np.uint64, len(words))
 
 
 def phrase_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -146,9 +140,8 @@ def _safe(words: Words, hashes: np.ndarray, bitmap: np.ndarray, length: int) ->
 
 
 def _count_hashes(bitmap, length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: dict = {}
     for lang, words in _sliced(batches):
-        hashes = _word_hashes(lang, words.distinct, seen)[words.codes]
+        hashes = _word_hashes(lang, words.distinct)[words.codes]
         at = _safe(words, hashes, bitmap.value, length)
         own = phrase_hashes(hashes, length)[at] & np.uint64((1 << HASH_BITS) - 1)
         found, counts = np.unique(own, return_counts=True)
@@ -157,9 +150,8 @@ def _count_hashes(bitmap, length: int, batches: Iterator[pa.RecordBatch]) -> Ite
 
 def _name(bitmaps, buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different phrases of a slice that pass the bitmaps of their level, a list per bucket."""
-    seen: dict = {}
     for lang, words in _sliced(batches):
-        hashes = _word_hashes(lang, words.distinct, seen)[words.codes]
+        hashes = _word_hashes(lang, words.distinct)[words.codes]
         for length, bitmap in bitmaps.value.items():
             own = phrase_hashes(hashes, length)
             at = np.flatnonzero(_fits(words, length))
@@ -250,8 +242,8 @@ class Trie(NamedTuple):
     accept: np.ndarray
     roots: dict[str, int]
     symbols: dict[str, dict[bytes, int]]  # per language, from 1
-    langs: list[str]
-    phrases: list[str]
+    langs: pa.Array
+    phrases: pa.Array
 
 
 FREE, ROOT, LEAF = -1, -2, -(1 << 40)
@@ -337,7 +329,7 @@ def build_trie(rows: list[tuple[str, str]]) -> Trie:
         bases[states] = values
     if accept_at:
         accept[np.concatenate(accept_at)] = np.concatenate(accept_row)
-    return Trie(bases, slots.check, accept, roots, symbols, [r[0] for r in rows], [r[1] for r in rows])
+    return Trie(bases, slots.check, accept, roots, symbols, *(pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)))
 
 
 def step(trie: Trie, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -403,8 +395,8 @@ def _unpacked(trie, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             counts = np.frombuffer(counts, "<i8")
             seen = np.flatnonzero(counts)
-            langs, phrases = ([own[chunk * CHUNK + i] for i in seen] for own in (trie.value.langs, trie.value.phrases))
-            columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(counts[seen])]
+            at = pa.array(chunk * CHUNK + seen)
+            columns = [trie.value.langs.take(at), trie.value.phrases.take(at), pa.array(counts[seen])]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
 
 

@@ -1,8 +1,10 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from corpus import edges, nothing
 from pyspark.sql import functions as F
 
@@ -110,6 +112,25 @@ def test_a_full_bitmap_only_adds_candidates(spark, monkeypatch):
     assert result(phrases.collocations(frame_of(spark, rows), least=5)) == plain(rows, 5)
 
 
+def test_a_pass_holds_a_few_slices_of_a_large_batch(spark):
+    rng = np.random.default_rng(1)
+    words = np.array([f"w{i}" for i in range(60_000)])
+    texts = [" ".join(words[rng.zipf(1.3, 30_000) % len(words)]) for _ in range(160)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array(texts)], names=["lang", "text"])
+    assert batch.nbytes > 16 << 20
+    bitmap = type("Sent", (), {"value": np.zeros(1 << phrases.BITS >> 3, np.uint8)})
+    every = type("Sent", (), {"value": np.full(1 << phrases.BITS >> 3, 255, np.uint8)})
+    named = type("Sent", (), {"value": {2: bitmap.value, 3: bitmap.value}})
+    passes = (phrases._count_words(iter([batch])), phrases._count_hashes(every, 2, iter([batch])), phrases._name(named, 4, iter([batch])))
+    for found in passes:
+        tracemalloc.start()
+        for _ in found:
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150 << 20
+
+
 def test_double_array():
     rng = random.Random(1)
     known = [f"w{i}" for i in range(60)]
