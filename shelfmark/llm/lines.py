@@ -4,8 +4,10 @@ If a line is cut into ``edits + 1`` segments, one of them is left whole by ``edi
 by at most ``edits`` places.  So every distinct line is indexed by its segments, and
 probes the index with those of its substrings that can match a segment of a line of its length or
 up to ``edits`` shorter (the multi-match-aware choice of start places).  Segments and substrings
-meet in Spark by a hash of length, segment number and characters; pairs that meet are verified by a
-banded bit-parallel edit distance.
+meet in Spark by a hash of length, segment number and characters.  An edit changes the counts of at
+most two characters, so a key carries 23 parities of such counts, and the join keeps only pairs in
+which at most ``2 * edits`` of them differ.  Most lines that share a segment and are farther apart are
+thus not written as pairs, though the join still compares the lines of a segment two by two.  The rest are verified by a banded bit-parallel edit distance.
 
 Equal lines are one class from the start, combined in the scan tasks, so a line in a third of all
 documents is one row per task.  A line goes if its class, or a class linked with it, occurs
@@ -14,8 +16,10 @@ earlier; earlier means a smaller (doc_id, line number).
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,6 +31,11 @@ EDITS = 2
 SHORTEST = 16  # shorter lines have only exact copies
 NO_ID = -(1 << 63)
 MIXED = (1 << 64) - 1
+SLICE = 1 << 17  # characters in numpy arrays together
+BASE = 0x9E3779B97F4A7C15  # odd, so that its powers have inverses modulo 2**64
+MIX = np.uint64(0xBF58476D1CE4E5B9)
+PARITIES = 23
+LOW = 1 + PARITIES  # bits of a key below its hash: the sketch, then whether a probe is one of the line's own segments
 
 
 def _signed(n: int) -> int:
@@ -73,8 +82,73 @@ def probes(length: int, shorter: int, edits: int) -> Iterator[tuple[int, int, in
             yield number, at, at + size
 
 
-def _key(length: int, number: int, piece: str) -> int:
-    return _signed(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"), (length << 4) | number))
+@functools.lru_cache(4096)
+def _places(length: int, edits: int, probing: bool) -> np.ndarray:
+    """Starts, ends, tags (length and segment number) of a line's segments, or of what it probes with, and
+    whether a probe is a segment of the line itself."""
+    if probing:
+        shorter = range(max(SHORTEST, length - edits), length + 1)
+        whole = segments(length, edits)
+        own = [(start, end, x << 4 | n, x == length and start == whole[n][0]) for x in shorter for n, start, end in probes(length, x, edits)]
+    else:
+        own = [(start, end, length << 4 | number, 0) for number, (start, end) in enumerate(segments(length, edits))]
+    return np.array(own, np.int64).reshape(-1, 4).T
+
+
+def _slices(lines: list[str]) -> Iterator[slice]:
+    """Runs of lines of at most ``SLICE`` characters; a longer line is a run of its own."""
+    first = held = 0
+    for i, line in enumerate(lines):
+        if i > first and held + len(line) > SLICE:
+            yield slice(first, i)
+            first, held = i, 0
+        held += len(line)
+    if first < len(lines):
+        yield slice(first, len(lines))
+
+
+def _characters(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of the lines one after the other, and where each line starts."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return codes, np.cumsum([0] + [len(x) for x in lines])[:-1]
+
+
+@functools.lru_cache(4)
+def _powers(base: int, count: int) -> np.ndarray:
+    """``base`` to the powers from 0 on, modulo 2**64."""
+    return np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(count - 1, base, np.uint64))))
+
+
+@functools.cache
+def _parity_bits() -> np.ndarray:
+    """The bit of each code point in a sketch: neighbours, as the letters of an alphabet are, differ."""
+    return np.uint32(1) << np.arange(0x110000, dtype=np.uint32) % np.uint32(PARITIES)
+
+
+def _sketches(codes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """Of each line, which of ``PARITIES`` groups of characters occur an odd number of times."""
+    return np.bitwise_xor.reduceat(_parity_bits()[codes], firsts).astype(np.uint64)
+
+
+def segment_keys(lines: list[str], edits: int, probing: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the line, key) of the segments of each line, or of the substrings that it probes with.
+
+    The high bits of a key are a hash of the substring: a difference of prefix sums, so that all of them
+    cost one pass over the characters.  Then come the line's sketch and a bit for its own segments.
+    """
+    codes, firsts = _characters(lines)
+    count = 1 << max(SLICE, len(codes) + 1).bit_length()
+    values = (codes.astype(np.uint64) + np.uint64(1)) * MIX
+    values ^= values >> np.uint64(32)
+    values *= _powers(BASE, count)[: len(codes)]
+    until = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+    places = [_places(len(x), edits, probing) for x in lines]
+    line = np.repeat(np.arange(len(lines)), [p.shape[1] for p in places])
+    start, end, tag, whole = np.concatenate(places, axis=1)
+    start, end = start + firsts[line], end + firsts[line]
+    keys = (until[end] - until[start]) * _powers(pow(BASE, -1, 1 << 64), count)[start] ^ tag.astype(np.uint64) * np.uint64(BASE)
+    keys = (keys ^ keys >> np.uint64(32)) * MIX >> np.uint64(LOW) << np.uint64(LOW)
+    return line, (keys | _sketches(codes, firsts)[line] << np.uint64(1) | whole.astype(np.uint64)).view(np.int64)
 
 
 def within(a: str, b: str, edits: int) -> bool:
@@ -186,23 +260,14 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _keys(edits: int, probing: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, id) of the segments of each line, or of the substrings that it probes with."""
     for batch in batches:
-        keys: list[int] = []
-        ids: list[int] = []
-        for own_id, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            length = len(line)
-            if length < SHORTEST:
-                continue
-            if probing:
-                own = [
-                    _key(shorter, number, line[start:end])
-                    for shorter in range(max(SHORTEST, length - edits), length + 1)
-                    for number, start, end in probes(length, shorter, edits)
-                ]
-            else:
-                own = [_key(length, number, line[start:end]) for number, (start, end) in enumerate(segments(length, edits))]
-            keys += own
-            ids += [own_id] * len(own)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())], names=["key", "id"])
+        lines = batch.column(1).to_pylist()
+        long = np.flatnonzero(np.fromiter((len(x) >= SHORTEST for x in lines), bool, len(lines)))
+        lines = [lines[i] for i in long]
+        found = [(long[own][line], keys) for own in _slices(lines) for line, keys in [segment_keys(lines[own], edits, probing)]]
+        if not found:
+            continue
+        row, keys = (pa.array(np.concatenate(x)) for x in zip(*found))
+        yield pa.RecordBatch.from_arrays([keys, batch.column(0).take(row)], names=["key", "id"])
 
 
 def _verified(edits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +287,25 @@ def distinct_lines(rows: DataFrame) -> DataFrame:
     return dealt.groupBy("id", "id2", "line").agg(F.min("at").alias("at"))
 
 
-def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """(a, a2, a_at, b, b2, b_at) of every pair of distinct lines within ``edits``, once each."""
+def candidate_pairs(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(a, b) of every pair of distinct lines that share a segment and have near enough sketches, once each."""
     # All four readers of the lines need the same columns, so that one shuffle serves them.
     texts = lines.select("id", "line", "id2", "at")
     index = texts.mapInArrow(per_batch(_keys, edits, False), "key long, id long")
-    probing = texts.mapInArrow(per_batch(_keys, edits, True), "key long, probe long")
-    met = index.join(probing, "key").where("id <> probe").select(F.least("id", "probe").alias("a"), F.greatest("id", "probe").alias("b"))
-    pairs = met.distinct()
+    probing = texts.mapInArrow(per_batch(_keys, edits, True), "probe_key long, probe long")
+    shared = F.shiftright("key", LOW) == F.shiftright("probe_key", LOW)
+    alike = F.bit_count(F.shiftright(F.col("key").bitwiseXOR(F.col("probe_key")), 1)) <= 2 * edits
+    # Lines that share a segment of both find each other; one of the two finds is enough.
+    once = (F.col("id") < F.col("probe")) | ((F.col("id") != F.col("probe")) & (F.col("probe_key").bitwiseAND(1) == 0))
+    met = index.join(probing, shared & alike & once)
+    return met.select(F.least("id", "probe").alias("a"), F.greatest("id", "probe").alias("b")).distinct()
+
+
+def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """(a, a2, a_at, b, b2, b_at) of every pair of distinct lines within ``edits``, once each."""
     left = lines.select(F.col("id").alias("a"), F.col("id2").alias("a2"), F.col("at").alias("a_at"), F.col("line").alias("a_line"))
     right = lines.select(F.col("id").alias("b"), F.col("id2").alias("b2"), F.col("at").alias("b_at"), F.col("line").alias("b_line"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "a2", "a_at", "b", "b2", "b_at", "a_line", "b_line")
+    both = candidate_pairs(lines, edits).join(left, "a").join(right, "b").select("a", "a2", "a_at", "b", "b2", "b_at", "a_line", "b_line")
     schema = "a long, a2 long, a_at decimal(31,0), b long, b2 long, b_at decimal(31,0)"
     return both.mapInArrow(per_batch(_verified, edits), schema)
 
@@ -249,14 +322,14 @@ def line_dedup(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     rows = docs.select(key.alias("key"), text_of().alias("text"))
-    lines = distinct_lines(rows)
-    links = cut(near_lines(lines, edits))
+    links = cut(near_lines(distinct_lines(rows), edits))
     forth = links.select(F.col("a").alias("id"), F.col("a2").alias("id2"), F.col("b_at").alias("other"))
     back = links.select(F.col("b").alias("id"), F.col("b2").alias("id2"), F.col("a_at").alias("other"))
     linked = forth.unionByName(back).groupBy("id", "id2").agg(F.count(F.lit(1)).alias("links"), F.min("other").alias("other"))
-    classes = lines.select("id", "id2", "at").join(linked, ["id", "id2"], "left")
-    placed = rows.mapInArrow(_occurrences, "doc long, place int, id long, id2 long").join(classes, ["id", "id2"])
+    occurrences = rows.mapInArrow(_occurrences, "doc long, place int, id long, id2 long")
     here = F.col("doc").cast("decimal(20,0)") * F.lit(PLACE) + F.col("place")
+    firsts = occurrences.groupBy("id", "id2").agg(F.min(here.cast("decimal(31,0)")).alias("at"))
+    placed = occurrences.join(firsts.join(linked, ["id", "id2"], "left"), ["id", "id2"])
     earlier = (F.col("at") < here) | F.coalesce(F.col("other") < F.col("at"), F.lit(False))
     first_doc = F.floor(F.col("at") / F.lit(PLACE).cast("decimal(11,0)")).cast("long")
     line = F.struct(
