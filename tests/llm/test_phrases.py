@@ -169,3 +169,51 @@ def test_registered_query(spark, sf_dir):
 
     rows = [(r["lang"], r["text"]) for r in table(spark, sf_dir, "documents").collect()]
     assert result(queries.op12_phrase_tries(spark, sf_dir)) == plain(rows, 100)
+
+
+def test_texts_are_cut_once_and_tries_share_a_pass(spark, monkeypatch):
+    rows = corpus(6, 80)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    docs = frame_of(spark, rows).withColumn("text", F.udf(seen, "string")("text"))
+    assert result(phrases.collocations(docs, least=5)) == plain(rows, 5)
+    assert read.value == len(rows)
+    docs = frame_of(spark, rows)
+    named = phrases.candidates(docs, phrases.word_counts(docs, 5), 5)
+    passes, summed = [], phrases._summed
+    monkeypatch.setattr(phrases, "_summed", lambda *a: passes.append(1) or summed(*a))
+    counts = phrases.phrase_counts(docs, named, trie_most=-(-named.count() // phrases.TRIES)).collect()
+    assert len(passes) == 1 and len(counts) == named.count() > 30
+
+
+def test_few_strange_hashes_pass_a_bitmap(spark):
+    hashes = spark.range(1_000_000).select(F.xxhash64("id").alias("hash"))
+    bitmap = phrases.bitmap_of(hashes)
+    own = hashes.toArrow()["hash"].to_numpy().view(np.uint64)
+    assert phrases._passes(bitmap, own).all()
+    assert phrases._passes(bitmap, np.random.default_rng(1).integers(0, 1 << 64, 1_000_000, np.uint64)).mean() < 0.001
+
+
+def test_slices_as_they_are_kept():
+    for texts in ([], [b""], [b"A b. c\td e!", b"", b"b b", "\u00e9 \u00c9 a".encode()]):
+        words = phrases.cut_words(texts, phrases.KINDS, lower=True)
+        again = phrases._opened(*phrases._packed(words))
+        assert again.distinct == words.distinct and (again.codes == words.codes).all() and len(again.pieces) == len(words.pieces)
+        assert (np.diff(again.pieces).astype(bool) == np.diff(words.pieces).astype(bool)).all()
+
+
+def test_wide_states_of_a_double_array():
+    rng = random.Random(2)
+    rows = [("en", f"a{i} b{j}") for i in range(12) for j in rng.sample(range(2000), 120 + 20 * i)]
+    rows += [("fr", f"a0 b{j} c") for j in range(300)]
+    trie = phrases.build_trie(rows)
+    for i, (lang, phrase) in enumerate(rows):
+        state = np.array([trie.roots[lang]])
+        for word in phrase.encode().split(b" "):
+            state = phrases.step(trie, state, np.array([trie.symbols[lang][word]]))
+        assert trie.accept[state[0]] == i
+    assert len(trie.check) < 8 * (trie.check >= 0).sum()
